@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
@@ -82,17 +83,53 @@ def texts_of(column) -> list:
     return column.cast("binary").to_pylist()
 
 
+def on_one_worker(spark: SparkSession, make):
+    """What ``make()`` returns, run in one Python worker: small fits use one core there, and none of the driver's."""
+
+    def run(batches):
+        for _ in batches:
+            pass
+        yield fields(made=pa.array([pickle.dumps(make())], pa.binary()))
+
+    return pickle.loads(bytes(spark.range(0, 1, 1, 1).mapInArrow(run, "made binary").first()[0]))
+
+
 def fields(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
+def _joined_here(pairs: DataFrame) -> DataFrame:
+    """The pairs of each partition as stars round the least node that they join there: the same components, no shuffle."""
+
+    def run(batches):
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (y := up.get(x, x)) != x:
+                up[x] = up.get(y, y)
+                x = y
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = root(a), root(b)
+                up.setdefault(a, a)
+                up.setdefault(b, b)
+                up[max(a, b)] = min(a, b)
+        rows = [(x, r) for x in list(up) if (r := root(x)) != x]
+        yield fields(a=pa.array([x for x, _ in rows], pa.int64()), b=pa.array([r for _, r in rows], pa.int64()))
+
+    return pairs.select("a", "b").mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
-    """Connected components of ``edges(a, b)`` as ``(node, root)``, root the smallest node reached.
+    """Connected components of ``edges(a, b)``, both long, as ``(node, root)``, root the smallest node reached.
 
-    Alternates the large-star and small-star steps until no edge changes; each
-    step is one aggregate and one equi-join, so that a hub never meets in one
-    task more than a skewed join lets it, and each round is written to the
-    shared folder. Nodes without edges aren't listed.
+    Each partition first joins what it can by itself; then large-star and
+    small-star steps alternate until no edge changes. A step is one aggregate
+    and one equi-join, so that a hub never meets in one task more than a skewed
+    join lets it, and each round is written to the shared folder. Nodes without
+    edges aren't listed.
     """
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:

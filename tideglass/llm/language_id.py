@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fields, fold, table
+from .common import fields, fold, on_one_worker, table
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 NONE = "und"
@@ -239,9 +239,14 @@ def fitted(train: DataFrame, cfg: Field = Field()) -> Tagger:
             ws = [w for s in starts for w in ws[s : s + cfg.length]]
         texts.append((y, ws))
     lexicon = {w: i for i, w in enumerate(dict.fromkeys(w for c in seen for w, _ in c.most_common(cfg.lexicon)))}
-    tagger = Tagger(langs, lexicon, cfg)
-    tagger.fit(texts)
-    return tagger
+    task = train.sparkSession.sparkContext.broadcast(texts)
+
+    def make():
+        tagger = Tagger(langs, lexicon, cfg)
+        tagger.fit(task.value)
+        return tagger
+
+    return on_one_worker(train.sparkSession, make)
 
 
 def identified(docs: DataFrame, tagger: Tagger) -> DataFrame:

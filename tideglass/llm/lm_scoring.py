@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fold, materialize, table, texts_of
+from .common import fields, fold, materialize, on_one_worker, table, texts_of
 
 END = b" "  # no word holds a blank
 
@@ -281,10 +281,17 @@ class Model:
             units[i] = self.near + tail_of(words[i], self.cfg.tails)
         return units, at, out
 
-    def fit(self, texts: list[bytes]) -> None:
-        sample = [self.encoded(tokens(x))[0] for x in texts]
+    def fit(self, spark: SparkSession, texts: list[bytes]) -> None:
+        sample = [self.encoded(tokens(x))[0].astype(np.int32) for x in texts]
         if sum(map(len, sample)) > self.cfg.window:
-            self.net.fit(sample, 0, self.cfg)
+            task, cfg = spark.sparkContext.broadcast((self.net, sample)), self.cfg
+
+            def make():
+                net, texts = task.value
+                net.fit(texts, 0, cfg)
+                return net.p
+
+            self.net.p = on_one_worker(spark, make)
 
     def scored(self, texts: list[bytes | None]) -> list[tuple]:
         """Of each text: tokens, those known, sums of log(c + 1) and of model log probability but for words beyond the head, and those words with counts."""
@@ -337,7 +344,7 @@ def fitted(train: DataFrame, cfg: LM = LM()) -> tuple[Model, DataFrame]:
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     head = [(bytes(r[0]), r[1]) for r in counts.orderBy(F.col("n").desc(), "word").limit(cfg.head).collect()]
     model = Model(head, _tails(counts, cfg), total or 0, distinct, cfg)
-    model.fit(_sample(train, cfg))
+    model.fit(train.sparkSession, _sample(train, cfg))
     return model, counts
 
 

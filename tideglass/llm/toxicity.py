@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fold, table, texts_of
+from .common import fields, fold, on_one_worker, table, texts_of
 
 #: Neutral names of groups, by kind; any term may stand for another of its kind.
 IDENTITY = {
@@ -225,7 +225,8 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 def classified(docs: DataFrame, labels: DataFrame, learn, cfg: Toxic = Toxic()) -> DataFrame:
     """Fit on ``labels(doc_id, label)`` of the rows that ``learn``, a condition on doc_id, lets through, and score all of ``docs``."""
-    return scored(docs, fit(_training(docs, labels, learn, cfg), cfg))
+    task = docs.sparkSession.sparkContext.broadcast(_training(docs, labels, learn, cfg))
+    return scored(docs, on_one_worker(docs.sparkSession, lambda: fit(task.value, cfg)))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
