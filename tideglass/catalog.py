@@ -1,22 +1,6 @@
-"""The registry that ``__spark_entry__`` serves: queries by name, and their SQL."""
+"""The registry that ``__spark_entry__`` serves: queries by name, and the SQL of those that SQL can express."""
 
-from __future__ import annotations
+from tideglass.plans import pages, relations, scalars, texts
+from tideglass.plans.registry import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-
-def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last order of each customer."""
-    newest = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    return orders.withColumn("rn", F.row_number().over(newest)).where("rn = 1").drop("rn")
-
-
-QUERIES = {"latest_per_key": latest_per_key}
-
-ORACLES = {
-    "latest_per_key": """
-SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
-QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
-}
+__all__ = ["ORACLES", "QUERIES", "pages", "relations", "scalars", "texts"]
