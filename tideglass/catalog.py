@@ -1,6 +1,6 @@
 """The registry that ``__spark_entry__`` serves: queries by name, and the SQL of those that SQL can express."""
 
-from tideglass.plans import pages, relations, scalars, texts
+from tideglass.plans import pages, relations, scalars, sites, texts
 from tideglass.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "pages", "relations", "scalars", "texts"]
+__all__ = ["ORACLES", "QUERIES", "pages", "relations", "scalars", "sites", "texts"]
