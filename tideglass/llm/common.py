@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import pickle
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideglass.sources.storage import materialize, release
+
 #: A word, and what parts words. ``bytes.split()`` parts UTF-8 text in the same places.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
@@ -26,34 +26,6 @@ def fold(doc_id, parts: int):
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of its own only where that is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tideglass-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the lineage ends in files that every executor sees."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tideglass/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tideglass_path = path
-    return out
-
-
-def release(df: DataFrame) -> None:
-    """Delete what ``materialize`` wrote, once nothing reads it any more."""
-    path = getattr(df, "_tideglass_path", None)
-    if path:
-        spark = df.sparkSession
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 class WordHashes(dict):
     """64-bit hashes of words, kept while there are fewer than ``most``."""
 
@@ -94,10 +66,28 @@ def on_one_worker(spark: SparkSession, make):
     return pickle.loads(bytes(spark.range(0, 1, 1, 1).mapInArrow(run, "made binary").first()[0]))
 
 
+_STEPS = 10**9
+
+
+def least_hashed(df: DataFrame, key: str, seed: int, most: int) -> list:
+    """The ``most`` values of the column ``key`` of least seeded hash, repeats once; about so many come to the driver, however many tasks there are."""
+    n = df.count()
+    at = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(_STEPS))
+    cut = _STEPS if n <= 2 * most else int(_STEPS * (most + 5 * most**0.5 + 5) / n)
+    rows = df.select(F.col(key).alias("k"), at.alias("at")).where(F.col("at") <= cut).distinct().collect()
+    return [r.k for r in sorted(rows, key=lambda r: (r.at, r.k))[:most]]
+
+
 def fields(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
+def spread(left: DataFrame, right: DataFrame, on: list[str], by: str, parts: int = 16, how: str = "inner") -> DataFrame:
+    """Join to a ``right`` of one light row a key, each key's rows of ``left`` dealt to ``parts`` tasks by ``by``; for keys that may be very frequent on the left."""
+    salted = left.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    return salted.join(right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), [*on, "_part"], how).drop("_part")
+
+
 def _joined_here(pairs: DataFrame) -> DataFrame:
     """The pairs of each partition as stars round the least node that they join there: the same components, no shuffle."""
 

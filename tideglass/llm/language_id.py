@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fields, fold, on_one_worker, table
@@ -124,7 +124,7 @@ class Tagger:
             beta[:n] = v @ t.T
             m = width[i - 1]
             gamma[i - 1, :m] = alpha[i - 1, :m] * beta[:m]
-        partition = np.log(scale).sum(axis=0) + top[..., 0].sum(axis=0)
+        partition = np.log(scale).sum(axis=0) + np.where(np.arange(steps)[:, None] < live, top[..., 0], 0).sum(axis=0)
         return gamma, pairs, partition
 
     def fit(self, texts: list[tuple[int, list[str]]]) -> None:
@@ -206,22 +206,19 @@ class Tagger:
 
 
 def _texts(train: DataFrame, cfg: Field) -> list[tuple[str, int, str]]:
-    """Up to ``per_language`` (lang, id, text) of each language, those of least seeded hash; first within each task, then over all."""
-
-    def least(batches):
-        best: dict[str, list] = {}
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                best.setdefault(row[0], []).append(row[1:])
-            for k, rows in best.items():
-                best[k] = sorted(set(rows))[: cfg.per_language]
-        flat = [(k, h, i) for k, rows in best.items() for h, i in rows]
-        lang, code, ids = zip(*flat, strict=True) if flat else ([], [], [])
-        yield fields(lang=pa.array(lang, pa.string()), h=pa.array(code, pa.int64()), doc_id=pa.array(ids, pa.int64()))
-
-    ids = train.where("length(text) > 0").select("lang", F.xxhash64("doc_id", F.lit(cfg.seed)).alias("h"), F.col("doc_id").cast("long")).mapInArrow(least, "lang string, h long, doc_id long")
-    few = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= cfg.per_language).select("doc_id").distinct().collect()
-    rows = train.where(F.col("doc_id").isin([r[0] for r in few])).select("lang", "doc_id", "text").collect() if few else []
+    """Up to ``per_language`` (lang, id, text) of each language, those of least seeded hash."""
+    filled = train.where("length(text) > 0 and doc_id is not null and lang is not null")
+    sizes = {r[0]: r[1] for r in filled.groupBy("lang").count().collect()}
+    few: set[int] = set()
+    # One pass for all languages: each lets through about as many hashes as it needs.
+    steps, most = 10**9, cfg.per_language
+    cuts = [x for k, n in sizes.items() for x in (F.lit(k), F.lit(steps if n <= 2 * most else int(steps * (most + 5 * most**0.5 + 5) / n)))]
+    if cuts:
+        at = F.pmod(F.xxhash64("doc_id", F.lit(cfg.seed)), F.lit(steps))
+        found = filled.select("lang", "doc_id", at.alias("at")).where(F.col("at") <= F.try_element_at(F.create_map(*cuts), F.col("lang"))).distinct().collect()
+        for k in sizes:
+            few.update(r.doc_id for r in sorted((r for r in found if r.lang == k), key=lambda r: (r.at, r.doc_id))[:most])
+    rows = filled.where(F.col("doc_id").isin(few)).select("lang", "doc_id", "text").collect() if few else []
     return sorted((r[0], r[1], r[2]) for r in rows if r[2])
 
 

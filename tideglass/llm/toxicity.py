@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fold, on_one_worker, table, texts_of
+from .common import fields, fold, least_hashed, on_one_worker, table, texts_of
 
 #: Neutral names of groups, by kind; any term may stand for another of its kind.
 IDENTITY = {
@@ -202,12 +202,12 @@ def _training(docs: DataFrame, labels: DataFrame, learn, cfg: Toxic) -> list[tup
     """Up to ``per_class`` labelled texts of each class, those whose ids have the least seeded hash."""
     chosen = {}
     for k in (0, 1):
-        rows = labels.where(learn).where(F.col("label") == k).select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(cfg.seed)), "doc_id").limit(cfg.per_class).collect()
-        chosen.update({r[0]: k for r in rows})
+        some = labels.where(learn).where((F.col("label") == k) & F.col("doc_id").isNotNull()).select("doc_id")
+        chosen.update(dict.fromkeys(least_hashed(some, "doc_id", cfg.seed, cfg.per_class), k))
     if not chosen:
         return []
     ids = labels.sparkSession.createDataFrame([(i, k) for i, k in chosen.items()], "doc_id long, label int")
-    rows = docs.where(learn).join(F.broadcast(ids), "doc_id").select("label", "doc_id", F.col("text").cast("binary").alias("text")).where("text is not null").collect()
+    rows = docs.select("doc_id", "text").where(learn).join(F.broadcast(ids), "doc_id").select("label", "doc_id", F.col("text").cast("binary").alias("text")).where("text is not null").collect()
     return [(r[0], bytes(r[2])) for r in sorted(rows, key=lambda r: (r[1], bytes(r[2])))]
 
 
