@@ -102,6 +102,40 @@ def audit(df: DataFrame, row_id: str, fields: Mapping[str, object], least: str =
     return df.select(row_id, F.explode(F.array_compact(F.array(*issues))).alias("i")).select(row_id, "i.*")
 
 
+_TITLES = "代表取締役|取締役社長|取締役|代表者|社長|会長|CEO|COO|CFO|CTO"
+_JAPANESE = r"[ぁ-んァ-ン一-龥]"
+
+
+def _codes(rules: Sequence[tuple[str, Column]], missing: str, s: Column) -> Column:
+    found = F.array_compact(F.array(*[F.when(c, F.lit(code)) for code, c in rules]))
+    return F.when(F.coalesce(s, F.lit("")) == "", F.array(F.lit(missing))).otherwise(found)
+
+
+def _has_phone(s: Column) -> Column:
+    found = F.transform(F.regexp_extract_all(s, F.lit(r"[0-9][0-9()\-‐―－ー ]{7,16}[0-9]"), F.lit(0)), digits)
+    return F.exists(found, lambda d: F.length(d).between(10, 12) & d.startswith("0"))
+
+
+def person_issues(c: Column) -> Column:
+    """Codes of what is wrong with a representative's name."""
+    s = stripped(narrow(c))
+    return _codes([
+        ("rep_contains_url", s.rlike(URL)), ("rep_contains_email", s.rlike(EMAIL)), ("rep_contains_phone", _has_phone(s)), ("rep_looks_like_address", s.rlike(ZIP) | A.prefecture(s).isNotNull()),
+        ("rep_contains_company_suffix", s.rlike("株式会社|有限会社|合同会社|[(]株[)]")), ("rep_label_only", s.rlike(f"^(?:{_TITLES}|代表者名)$")), ("rep_contains_contact_words", s.rlike("お問い合わせ|問合せ|問い合わせ")),
+        ("rep_sentence_like", s.rlike("[。：:]") & (F.length(s) >= 24)), ("rep_contains_many_digits", F.length(digits(s)) >= 4), ("rep_too_long", F.length(s) >= 60), ("rep_non_japanese_long", ~s.rlike(_JAPANESE) & (F.length(s) >= 10)),
+    ], "rep_missing", s)
+
+
+def address_issues(c: Column) -> Column:
+    """Codes of what is wrong with an address."""
+    s = stripped(narrow(c))
+    return _codes([
+        ("address_contains_url", s.rlike(URL)), ("address_contains_email", s.rlike(EMAIL)), ("address_contains_phone", _has_phone(s)), ("address_contains_rep_title", s.rlike(_TITLES)),
+        ("address_no_prefecture_or_zip", A.prefecture(s).isNull() & ~s.rlike(ZIP)), ("address_too_short", F.length(s) <= 6), ("address_too_long", F.length(s) >= 140),
+        ("address_looks_like_name", ~s.rlike("[0-9]") & A.prefecture(s).isNull() & s.rlike(_JAPANESE) & (F.length(s) <= 12)),
+    ], "address_missing", s)
+
+
 def issue_score(codes: Column, weights: Mapping[str, int] = ISSUE_WEIGHTS) -> Column:
     """The weights of an array of codes added up, 1 for one unknown."""
     table = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])

@@ -201,3 +201,45 @@ def address_conflict_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.when(k % 11 == 0, "https://x.jp/contact").otherwise("https://x.jp/company")
     d = address_decision(listed, found, F.when(k % 3 != 0, 1).otherwise(0), F.lit(5.0), source, F.when(k % 2 == 0, 0.9).otherwise(0.5), F.when(k % 7 < 3, "本社所在地").otherwise(""), url, F.when(k % 6 < 3, url).otherwise("https://x.jp/other"), F.lit("03-1234-5678"), F.lit("done"))
     return table(spark, sf_dir, "supplier").select("s_suppkey", d.alias("d")).select("s_suppkey", "d.*")
+
+
+AUDITED = [("代表取締役", "東京都千代田区1-1"), ("山田太郎", "03-1234-5678"), (None, ""), ("株式会社テスト 03-1234-5678", "社長 田中"), ("John Smith Jones", "https://x.jp"), ("佐藤", "〒100-0001 東京都千代田区千代田1-1")]
+
+
+@query("""
+SELECT * FROM (VALUES (0::bigint, 3, 'low'), (1, 4, 'medium'), (2, 2, 'low'), (3, 4 + 4 + 3 + 2 + 3 + 3 + 2 + 2, 'high'), (4, 1 + 4 + 3, 'high'), (5, 0, 'ok')) AS t(id, score, risk)""")
+def wide_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideglass.operators import quality
+
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(AUDITED)], "id long, rep string, address string")
+    codes = F.concat(quality.person_issues(F.col("rep")), quality.address_issues(F.col("address")))
+    return rows.select("id", quality.issue_score(codes).alias("score")).withColumn("risk", quality.risk(F.col("score")))
+
+
+ALIAS_ROWS = [(1, "塗装", "071", "D", "build"), (2, "とそう", "071", "E", "build"), (3, "塗装 ", "072", "D", "build"), (4, "", "072", "D", None), (5, "x", "999", "D", None), (6, "販売", "511", "", "build"), (7, "y", "", "D", None)]
+LEVELS = [("D", "00", "000", "0000"), ("D", "07", "000", "0000"), ("D", "07", "071", "0000"), ("D", "07", "072", "0000"), ("I", "51", "000", "0000"), ("I", "51", "511", "0000"), ("I", "51", "511", "5111")]
+
+
+@query("""
+SELECT * FROM (VALUES (1::bigint, 'alias_conflict'), (2, 'major_mismatch'), (3, 'alias_conflict'), (4, 'empty_alias'), (5, 'unknown_code'), (6, 'no_allowed_codes'), (6, 'domain_outlier'), (7, 'empty_code')) AS t(line, problem)""")
+def alias_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideglass.operators import taxonomy
+
+    rows = spark.createDataFrame(ALIAS_ROWS, "line long, alias string, code string, allowed string, domain string")
+    levels = spark.createDataFrame(LEVELS, "major string, middle string, minor string, detail string")
+    return taxonomy.alias_problems(rows, taxonomy.minor_to_major(levels)).select("line", "problem")
+
+
+@query()
+def category_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideglass.operators import taxonomy
+
+    rows = spark.createDataFrame([("建設", "塗装・防水工事業"), ("建設", "その他建設業"), ("IT", "システム開発（受託）サービス"), ("IT", ""), ("建設", "塗装・防水工事業")], "top string, sub string")
+    return taxonomy.categories(rows)
+
+
+@query()
+def business_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideglass.operators import taxonomy
+
+    return _rows(spark, ['["建設", "建 設", "https://x"]', "物流、倉庫/物流", "", None]).select("id", taxonomy.clean_tags(taxonomy.tag_values(F.col("v"))).alias("tags"))
