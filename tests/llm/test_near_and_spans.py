@@ -1,7 +1,7 @@
 import itertools
 import random
 
-from tideglass.llm import minhash_dedup, substring_dedup
+from tideglass.llm import common, minhash_dedup, substring_dedup
 from tideglass.llm.common import components
 from tideglass.llm.minhash_dedup import Near
 
@@ -49,7 +49,7 @@ def test_components_equal_brute_force(spark):
 def test_stars_and_the_exact_rest_agree(spark):
     rows = _corpus(160)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for near in (Near(shingle=4, most_stars=0, block=7), Near(shingle=4, pairs_per_posting=0, most_stars=2, block=5, parts=3)):
+    for near in (Near(shingle=4, stars=0, block=7), Near(shingle=4, stars=1, block=5, parts=3)):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(df, near).collect()}
         assert got == _brute(rows, 4, 80)
 
@@ -61,11 +61,13 @@ def test_null_and_repeated_ids(spark):
     assert minhash_dedup.near_duplicates(df.where("false")).count() == 0
 
 
-def test_components_of_chains_and_stars(spark):
+def test_components_of_chains_and_stars(spark, monkeypatch):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 70), (80, 81)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
     want = {i: 0 for i in range(61)} | {70: 0, 80: 80, 81: 80} | {1000 + i: 1000 for i in range(50)}
     assert got == want
+    monkeypatch.setattr(common, "FEW", 0)
+    assert {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()} == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 

@@ -112,13 +112,17 @@ def _joined_here(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b").mapInArrow(run, "a long, b long")
 
 
+#: Edges that one task may join; more go by stars.
+FEW = 15_000
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)``, both long, as ``(node, root)``, root the smallest node reached.
 
-    Each partition first joins what it can by itself; then large-star and
-    small-star steps alternate until no edge changes. A step is one aggregate
-    and one equi-join, so that a hub never meets in one task more than a skewed
-    join lets it, and each round is written to the shared folder. Nodes without
+    Each partition first joins what it can by itself. If a bounded number of
+    edges is left, one task joins those. Otherwise large-star and small-star
+    steps alternate until no edge changes. A step is one aggregate
+    and one equi-join that deals a hub's edges to several tasks, and each round is written to the shared folder. Nodes without
     edges aren't listed.
     """
 
@@ -128,22 +132,26 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         else:
             way = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         low = way.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        met = way.join(low, "u")
+        met = spread(way, low, ["u"], "v")
         if large:
             out = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         else:
             out = met.select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select("u", "m"))
-        return out.where("a <> b").distinct()
+        return out.where("a <> b")
 
     def state(pairs: DataFrame):
-        return pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        return pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("a")).first()
 
-    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    now = materialize(_joined_here(edges).distinct(), label)
     seen = state(now)
-    while seen[0]:
-        new = materialize(star(star(now, True), False), label)
+    if 0 < seen[0] <= FEW:
+        now = _joined_here(now.coalesce(1))
+        return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
+    # Stars, each node under one root and no root under another: done.
+    while seen[0] and (seen[2] < seen[0] or not now.select(F.col("b").alias("a")).join(now.select("a"), "a", "left_semi").isEmpty()):
+        new = materialize(_joined_here(star(star(now, True), False)).distinct(), label)
         release(now)
         now, before, seen = new, seen, state(new)
         if before == seen:
             break
-    return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).union(now.select(F.col("b"), F.col("b")).distinct())
+    return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).union(now.select("b", "b").distinct())

@@ -7,14 +7,18 @@ one pair in 100,000 is missed. Prefix: only the rarest ``size - matches + 1``
 coordinates of a text are joined, since two texts that agree in ``matches``
 share one of those. Skip: a text with fewer than ``matches`` coordinates that
 any other text has is never merged. Values shared by very many texts come last
-in that order, so a common passage or line seldom makes a bucket of its own.
+in that order, so a common passage or line seldom makes a bucket of its own. Sets
+of sizes too far apart to be so similar never share a bucket.
 
 Within a bucket not all pairs are made. Equal sets are one class first. Classes
-are then linked with their bucket's least and greatest class (a star, linear in
-the bucket); buckets that have become one component are done. While the rest
-would make many pairs, further stars with other seeded centres follow; then all
-remaining pairs of *different* components in a bucket are checked, so that the
-components are those of all links.
+are then linked with seeded centres of their bucket (a star, linear in the
+bucket), for a few turns; buckets that have become one component are done.
+What is left open, texts of *different* components in one bucket, is checked
+whole, so that the components are those of all links: the open texts' shingles
+are put in order of frequency, rarest first, and two texts are a pair if they
+share one of the first n - 0.8 n + 1 and, being the first they share, it leaves
+room for enough others. Loose copies of one text, each with changes of its own,
+fall away there without a pair being made, as their own changes come first.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, fields, materialize, mixed, release, table, texts_of
+from .common import WordHashes, components, fields, materialize, mixed, release, spread, table, texts_of
 
 
 @dataclass(frozen=True)
@@ -38,9 +42,11 @@ class Near:
     coordinates: int = 48
     matches: int = 26
     seed: int = 7
-    #: Stars go on while the pairs left to check exceed this many times the postings left.
-    pairs_per_posting: int = 4
-    most_stars: int = 6
+    #: Turns of stars before the rest is checked whole.
+    stars: int = 2
+    #: A bucket's centre is joined to its members in as many parts; pairs of larger buckets are made block by block.
+    parts: int = 16
+    block: int = 200
 
 
 def shingles(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
@@ -154,12 +160,67 @@ def _linked(pairs: DataFrame, classes: DataFrame, sets: DataFrame, near: Near) -
 
 
 def _prefixes(classes: DataFrame, near: Near) -> DataFrame:
-    """(key, node): the rarest coordinates of each class that can have a partner at all."""
+    """(key, node, n): each class that can have a partner, posted under its rarest coordinates and two size ranges."""
     posts = _postings(classes)
-    met = posts.join(posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
+    met = posts.join(posts.groupBy("key").agg(F.count("*").alias("often")).where("often > 1"), "key")
     own = Window.partitionBy("node")  # as many rows as there are coordinates at most
-    ranked = met.withColumns({"rank": F.row_number().over(own.orderBy("n", "key")), "of": F.count("*").over(own)})
-    return ranked.where((F.col("of") >= near.matches) & (F.col("rank") <= F.col("of") - near.matches + 1)).select("key", "node")
+    ranked = met.withColumns({"rank": F.row_number().over(own.orderBy("often", "key")), "of": F.count("*").over(own)})
+    some = ranked.where((F.col("of") >= near.matches) & (F.col("rank") <= F.col("of") - near.matches + 1)).select("key", "node").join(classes.select("node", "n"), "node")
+    # Sizes of similar sets differ by a factor of 100 / percent at most, that is by one range at most.
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / near.percent)) + 1e-9)
+    return some.withColumn("size", F.explode(F.array(size, size + 1))).select(F.xxhash64("key", "size").alias("key"), "node", "n")
+
+
+def _bound(near: Near, c, n):
+    """The greatest size of a set that may be as similar: from (100 + p) * common >= p * (n + n')."""
+    return c * ((100.0 + near.percent) / near.percent) - n
+
+
+def _alike(near: Near, c, n, d, m):
+    """Whether sets of n and m shingles that can share c and d at most may be as similar."""
+    return F.least(c, d) * (100 + near.percent) >= (n + m) * near.percent
+
+
+def _star(base: DataFrame, turn: int, near: Near) -> DataFrame:
+    """Candidate pairs of each bucket's members with two seeded centres of other components."""
+    own, code = F.struct("node", "label", "n"), F.xxhash64("node", F.lit(turn))
+    ends = base.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("g"), F.min_by(own, code).alias("c1"), F.max_by(own, code).alias("c2")).where("l <> g")
+    met = spread(base, ends.select("key", "c1", "c2"), ["key"], "node", near.parts).withColumn("hub", F.explode(F.array("c1", "c2")))
+    met = met.where((F.col("label") != F.col("hub.label")) & _alike(near, F.col("n"), F.col("n"), F.col("hub.n"), F.col("hub.n")))
+    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+
+
+def _shared_first(nodes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """(key, node, n, label, c): each open text under the rarest shingles that a partner must share one of, c the most it can share from there on."""
+
+    def run(batches):
+        for batch in batches:
+            codes = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+            owner = np.repeat(batch.column(0).to_numpy(), [len(c) for c in codes])
+            yield fields(code=pa.array(np.concatenate(codes) if codes else np.zeros(0, np.int64)), node=pa.array(owner, pa.int64()))
+
+    each = sets.join(nodes, "node", "left_semi").select("node", "codes").mapInArrow(run, "code long, node long")
+    often = each.groupBy("code").agg(F.count("*").alias("k")).where("k > 1")
+    own = each.join(often, "code").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "code"))).alias("codes")).join(nodes, "node")
+    lone = F.col("n") - F.size("codes")  # shared by no other, so first in order
+    room = F.col("n") - F.ceil(F.col("n") * near.percent / 100.0 - 1e-9) + 1 - lone
+    first = own.where(room > 0).select("node", "n", "label", lone.alias("lone"), F.posexplode(F.slice("codes", 1, room.cast("int"))).alias("i", "x"))
+    return first.select(F.col("x.code").alias("key"), "node", "n", "label", (F.col("n") - F.col("lone") - F.col("i")).alias("c"))
+
+
+def _pairs(posts: DataFrame, near: Near) -> DataFrame:
+    """Pairs of different components among postings (key, node, n, label, c), as far as sizes and places allow; larger buckets in blocks of bounded size."""
+    ends = posts.groupBy("key").agg(F.min("n").alias("lo"), F.max(_bound(near, F.col("c"), F.col("n"))).alias("hi"), F.min("label").alias("l"), F.max("label").alias("g"))
+    kept = spread(posts, ends.where("l <> g").select("key", "lo", "hi"), ["key"], "node", near.parts)
+    kept = materialize(kept.where((F.col("lo") <= _bound(near, F.col("c"), F.col("n"))) & (F.col("n") <= F.col("hi"))).drop("lo", "hi"), "open")
+    sizes = kept.groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("l"), F.max("label").alias("g")).where("l <> g")
+    base = spread(kept, sizes.select("key", F.ceil(F.col("rows") / near.block).cast("int").alias("m")), ["key"], "node", near.parts)
+    base = base.withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("m") - 1))
+    x = base.select("key", F.col("own").alias("p"), every.alias("q"), F.col("node").alias("a"), F.col("label").alias("la"), "n", "c")
+    y = base.select("key", every.alias("p"), F.col("own").alias("q"), F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("m"), F.col("c").alias("d"))
+    met = x.join(y, ["key", "p", "q"]).where((F.col("la") < F.col("lb")) & _alike(near, F.col("c"), F.col("n"), F.col("d"), F.col("m")))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _links(docs: DataFrame, classes: DataFrame, near: Near) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -168,29 +229,21 @@ def _links(docs: DataFrame, classes: DataFrame, near: Near) -> tuple[DataFrame,
     some = materialize(classes.join(prefix.select("node").distinct(), "node", "left_semi"), "survivors")
     sets = materialize(_sets(docs, some, near), "sets")
     labels, links = some.select("node", F.col("node").alias("label")), []
-    for turn in range(near.most_stars + 1):
-        left = prefix.join(labels, "node")
-        several = left.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("g")).where("l <> g").select("key")
-        left = materialize(left.join(several, "key"), "left")
-        by = left.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.expr("double(n) * n")).alias("nn"))
-        pairs_left, rows_left = by.agg(F.sum(F.expr("(double(n) * n - nn) / 2")), F.sum("n")).first()
-        if not rows_left:
-            break
-        last = turn == near.most_stars or pairs_left <= near.pairs_per_posting * rows_left
-        if last:
-            x, y = (left.select("key", F.col("node").alias(c), F.col("label").alias(m)) for c, m in (("a", "la"), ("b", "lb")))
-            pairs = x.join(y, "key").where("la < lb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        else:
-            code = F.xxhash64("node", F.lit(turn))
-            ends = left.groupBy("key").agg(F.min_by("node", code).alias("c1"), F.max_by("node", code).alias("c2"))
-            star = left.join(ends, "key").select("node", F.explode(F.array("c1", "c2")).alias("hub")).where("node <> hub")
-            pairs = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        links.append(materialize(_linked(pairs, some, sets, near), "links"))
-        release(left)
-        roots = components(reduce(DataFrame.union, links), "roots")
-        labels = materialize(some.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("label")), "labels")
-        if last:
+    for turn in range(near.stars + 1):
+        base = prefix.join(labels, "node")
+        several = base.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("g")).where("l <> g").select("key")
+        base = materialize(spread(base, several, ["key"], "node", near.parts), "base")
+        if base.isEmpty():
             break
+        pairs = _star(base, turn, near) if turn < near.stars else _pairs(_shared_first(base.select("node", "n", "label").distinct(), sets, near), near)
+        found = materialize(_linked(pairs, some, sets, near), "links")
+        links.append(found)
+        release(base)
+        named = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}"))  # noqa: E731, B023
+        ends = spread(spread(found, named("a"), ["a"], "b", near.parts), named("b"), ["b"], "a", near.parts)
+        roots = materialize(components(ends.where("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")), "roots"), "roots")
+        renamed = spread(labels, roots.withColumnRenamed("node", "label"), ["label"], "node", near.parts, "left")
+        labels = materialize(renamed.select("node", F.coalesce("root", "label").alias("label")), "labels")
     return some, labels, reduce(DataFrame.union, links) if links else some.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
 
 
@@ -207,12 +260,11 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """
     sigs = materialize(_signatures(docs, near), "sigs")
     real = sigs.where("node is not null and doc_id is not null")
-    first = real.groupBy("node").agg(F.min("doc_id").alias("first"))
-    classes = materialize(first.join(real.select("node", F.col("doc_id").alias("first"), "sig"), ["node", "first"]).dropDuplicates(["node"]), "classes")
+    classes = materialize(real.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
     some, labels, links = _links(docs, classes, near)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     nodes = some.select("node", "first").join(labels, "node").join(degree, "node", "left")
-    found = nodes.join(nodes.groupBy("label").agg(F.min("first").alias("root")), "label").select("node", "root", "links")
+    found = spread(nodes, nodes.groupBy("label").agg(F.min("first").alias("root")), ["label"], "node", near.parts).select("node", "root", "links")
     every = materialize(classes.select("node", "first").join(found, "node", "left"), "classes")
     out = sigs.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("node", F.xxhash64("doc_id"))).alias("node")).join(every, "node", "left")
     real = F.col("n_shingles") > 0
