@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ class Latent:
     most_share: float = 0.003
     least_terms: int = 8
     #: A window is projected if it has as many distinct terms, or all those of a shorter item.
-    window_terms: int = 3
+    window_terms: int = 4
     cosine: float = 0.5
     #: Share of the item's words in the common subsequence: a copy, or a paraphrase if the answer is there too.
     copied: float = 0.8
@@ -87,6 +88,9 @@ class Items:
             for i, w in enumerate(words):
                 at[w] = at.get(w, 0) | 1 << i
             self.masks.append(at)
+        self.counts = [{w: m.bit_count() for w, m in at.items()} for at in self.masks]
+        self.sets = [frozenset(at) for at in self.masks]
+        self.longest = max(map(len, self.words), default=0)
         self.terms = {w: i for i, w in enumerate(sorted({w for words in self.words for w in words}))}
 
     def chosen(self, share: np.ndarray, cfg: Latent) -> None:
@@ -101,17 +105,12 @@ class Items:
         self.need = min([cfg.window_terms, *(len({w for w in words if w in self.terms}) for words in self.words if words)])
 
 
-def _hits(text: bytes, terms: dict[bytes, int]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _hits(text: bytes | None, terms: dict[bytes, int]) -> tuple[int, np.ndarray, np.ndarray]:
+    """The number of words, and the places and numbers of those that are terms."""
     words = plain_words(text)
-    of = np.fromiter((terms.get(w, -1) for w in words), np.int32, len(words)) if len(words) < 8 else np.fromiter(map(terms.get, words, _less()), np.int32, len(words))
+    of = np.fromiter(map(terms.get, words, repeat(-1)), np.int32, len(words))
     at = np.flatnonzero(of >= 0)
-    return words, at, of[at]
-
-
-def _less():
-    from itertools import repeat
-
-    return repeat(-1)
+    return len(words), at, of[at]
 
 
 def _vectors(window: np.ndarray, term: np.ndarray, idf: np.ndarray):
@@ -125,8 +124,8 @@ def _vectors(window: np.ndarray, term: np.ndarray, idf: np.ndarray):
     return window[starts], starts, sizes, term, weight / np.repeat(norm, sizes)
 
 
-def _summed(docs: DataFrame, values, width: int) -> np.ndarray:
-    """Add up arrays that tasks make of their texts, term by term: (term, sums). ``values(texts)`` returns an array a batch."""
+def _summed(docs: DataFrame, values, width: int) -> dict[int, tuple]:
+    """Add up arrays that tasks make of their texts, row by row: the sums of each row that has any. ``values(texts)`` returns an array a batch."""
 
     def run(batches):
         total = None
@@ -149,8 +148,8 @@ def _shares(docs: DataFrame, items: Items, cfg: Latent) -> np.ndarray:
     def values(texts):
         out = np.zeros((size + 1, 1))
         for text in texts:
-            words, at, term = _hits(text, terms)
-            out[size, 0] += -(-len(words) // passage)
+            n, at, term = _hits(text, terms)
+            out[size, 0] += -(-n // passage)
             if len(at):
                 out[:size, 0] += np.bincount(np.unique(at // passage * size + term) % size, minlength=size)
         return out
@@ -185,10 +184,10 @@ def _basis(docs: DataFrame, items: Items, cfg: Latent) -> np.ndarray:
     def values(texts):
         hits, base = [], 0
         for text in texts:
-            words, at, term = _hits(text, terms)
+            n, at, term = _hits(text, terms)
             if len(at):
                 hits.append((base + at // passage, term))
-            base += len(words) // passage + 1
+            base += n // passage + 1
         return part(hits)
 
     found = _summed(docs, values, dims)
@@ -220,41 +219,46 @@ class Search:
         cfg, items, spread = self.cfg, self.items, self.cfg.passage // self.cfg.stride
         docs, windows, terms, places, base = [], [], [], [], 0
         for n, text in enumerate(texts):
-            words, at, term = _hits(text, items.terms)
+            size, at, term = _hits(text, items.terms)
             if len(at) >= items.need:
                 slot = base + at // cfg.stride
                 windows.append((slot[:, None] + np.arange(spread)).ravel())
                 terms.append(np.repeat(term, spread))
-                docs.append((n, words))
+                docs.append(n)
                 places.append(base)
-            base += len(words) // cfg.stride + spread + 1
+            base += size // cfg.stride + spread + 1
         if not windows:
             return []
         best: dict[tuple[int, int], tuple] = {}
         window, starts, sizes, term, weight = _vectors(np.concatenate(windows), np.concatenate(terms), items.idf)
-        enough = np.flatnonzero(sizes >= items.need)
-        seen: set = set()
+        enough, places = np.flatnonzero(sizes >= items.need), np.array(places)
         for lo in range(0, len(enough), 2048):
             some = enough[lo : lo + 2048]
-            take = np.concatenate([np.arange(starts[i], starts[i] + sizes[i]) for i in some])
-            first = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
+            first = np.cumsum(sizes[some]) - sizes[some]
+            take = np.arange(sizes[some].sum()) + np.repeat(starts[some] - first, sizes[some])
             p = np.add.reduceat(weight[take, None].astype(np.float32) * self.basis[term[take]], first, axis=0)
             cos = p @ self.rows.T / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-9)
-            for r, j in zip(*np.nonzero(cos >= cfg.cosine), strict=True):
-                at = int(np.searchsorted(places, window[some[r]], side="right")) - 1
-                n, words = docs[at]
-                size = len(items.words[j])
-                start = max(0, (int(window[some[r]]) - places[at] - spread + 1) * cfg.stride - size // 2)
-                if (at, j, start) in seen:
+            near, which = np.nonzero(cos >= cfg.cosine)
+            at = np.searchsorted(places, window[some[near]], side="right") - 1
+            ends = (window[some[near]] - places[at] - spread + 1) * cfg.stride
+            held, words = (-1, 0, frozenset()), []
+            for i, j, start, score in zip(at.tolist(), which.tolist(), ends.tolist(), cos[near, which].tolist(), strict=True):
+                n = docs[i]
+                if held[:2] != (i, start):
+                    words = words if held[0] == i else plain_words(texts[n])
+                    held = i, start, frozenset(words[max(0, start - items.longest // 2) : start + cfg.passage + items.longest])
+                # Words of the item that are nowhere near are missing from any common subsequence.
+                size, lacks = len(items.words[j]), items.sets[j] - held[2]
+                if size == 0 or size - sum(map(items.counts[j].__getitem__, lacks)) < cfg.paraphrased * size:
                     continue
-                seen.add((at, j, start))
+                start = max(0, start - size // 2)
                 region = words[start : start + cfg.passage + size]
                 common = lcs(items.masks[j], region)
-                if common < cfg.paraphrased * size or size == 0:
+                if common < cfg.paraphrased * size:
                     continue
                 told = len(items.answers[j] & set(region)) / max(1, len(items.answers[j]))
                 if common >= cfg.copied * size or told >= cfg.answered:
-                    new = (float(cos[r, j]), start, common, told)
+                    new = (score, start, common, told)
                     if (n, j) not in best or (new[2], new[0]) > (best[n, j][2], best[n, j][0]):
                         best[n, j] = new
         return [(n, j, *v) for (n, j), v in sorted(best.items())]
