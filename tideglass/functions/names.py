@@ -78,7 +78,7 @@ def person(s: pd.Series) -> pd.Series:
 
 def best_person(candidates: Column, url: Column | None = None) -> Column:
     """The best of tagged names: length, profile URL 3, table 5, label 3, a role in the raw value 8, three or more parts -6; the first of equals."""
-    bonus = F.when(F.coalesce(url, F.lit("")).rlike("(?i)/(company|about|profile|overview|corporate|message)"), 3).otherwise(0)
+    bonus = F.when(F.coalesce(url if url is not None else F.lit(""), F.lit("")).rlike("(?i)/(company|about|profile|overview|corporate|message)"), 3).otherwise(0)
     strip = F.transform(candidates, lambda c, i: F.struct(F.trim(F.regexp_replace(untagged(c), "|".join(ROLES), " ")).alias("v"), c.alias("raw"), i.alias("i")))
     ok = F.filter(strip, lambda r: (F.length(r["v"]) >= 2) & (F.length(r["v"]) <= 20) & ~r["v"].rlike("[0-9]|" + "|".join(NOT_NAMES)))
 
