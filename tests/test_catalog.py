@@ -20,3 +20,4 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+    assert all(callable(f) for f in e.queries().values())
