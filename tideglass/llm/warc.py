@@ -54,7 +54,7 @@ class Record:
 
 def written(records, compress: bool = True) -> bytes:
     """A WARC file's bytes; compressed, each record is a gzip member of its own."""
-    return b"".join(gzip.compress(r.to_bytes(), mtime=0) if compress else r.to_bytes() for r in records)
+    return b"".join(gzip.compress(r.to_bytes(), 4, mtime=0) if compress else r.to_bytes() for r in records)
 
 
 def parsed(data: bytes) -> Iterator[Record]:
