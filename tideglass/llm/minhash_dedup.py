@@ -3,7 +3,7 @@
 A text's signature is its least hash under each of ``coordinates`` hash
 functions. Texts are posted under (coordinate, value). Two texts are candidates
 if they agree in ``matches`` coordinates; at similarity 0.8 and 26 of 48 about
-one pair in 100,000 is missed. Prefix: only the rarest ``size - matches + 1``
+one pair in 75,000 is missed. Prefix: only the rarest ``size - matches + 1``
 coordinates of a text are joined, since two texts that agree in ``matches``
 share one of those. Skip: a text with fewer than ``matches`` coordinates that
 any other text has is never merged. Values shared by very many texts come last
@@ -11,8 +11,9 @@ in that order, so a common passage or line seldom makes a bucket of its own. Set
 of sizes too far apart to be so similar never share a bucket.
 
 Within a bucket not all pairs are made. Equal sets are one class first. Classes
-are then linked with seeded centres of their bucket (a star, linear in the
-bucket), for a few turns; buckets that have become one component are done.
+are then linked with centres of their bucket (a star, linear in the bucket), for
+a few turns, in the last with the text whose shingles are the most frequent;
+buckets that have become one component are done.
 What is left open, texts of *different* components in one bucket, is checked
 whole, so that the components are those of all links: the open texts' shingles
 are put in order of frequency, rarest first, and two texts are a pair if they
@@ -182,16 +183,20 @@ def _alike(near: Near, c, n, d, m):
 
 
 def _star(base: DataFrame, turn: int, near: Near) -> DataFrame:
-    """Candidate pairs of each bucket's members with two seeded centres of other components."""
+    """Candidate pairs of each bucket's members with two centres of other components: the one nearest the middle, and a seeded one."""
     own, code = F.struct("node", "label", "n"), F.xxhash64("node", F.lit(turn))
-    ends = base.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("g"), F.min_by(own, code).alias("c1"), F.max_by(own, code).alias("c2")).where("l <> g")
+    most = F.struct("middle", code)
+    ends = base.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("g"), F.max_by(own, most).alias("c1"), F.min_by(own, code).alias("c2")).where("l <> g")
     met = spread(base, ends.select("key", "c1", "c2"), ["key"], "node", near.parts).withColumn("hub", F.explode(F.array("c1", "c2")))
     met = met.where((F.col("label") != F.col("hub.label")) & _alike(near, F.col("n"), F.col("n"), F.col("hub.n"), F.col("hub.n")))
     return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
 def _shared_first(nodes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """(key, node, n, label, c): each open text under the rarest shingles that a partner must share one of, c the most it can share from there on."""
+    """(key, node, n, label, middle, c): each open text under the rarest shingles that a partner must share one of.
+
+    c is the most it can share from there on, middle the mean frequency of its shingles: the greater, the nearer a group's middle.
+    """
 
     def run(batches):
         for batch in batches:
@@ -204,8 +209,9 @@ def _shared_first(nodes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     own = each.join(often, "code").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "code"))).alias("codes")).join(nodes, "node")
     lone = F.col("n") - F.size("codes")  # shared by no other, so first in order
     room = F.col("n") - F.ceil(F.col("n") * near.percent / 100.0 - 1e-9) + 1 - lone
-    first = own.where(room > 0).select("node", "n", "label", lone.alias("lone"), F.posexplode(F.slice("codes", 1, room.cast("int"))).alias("i", "x"))
-    return first.select(F.col("x.code").alias("key"), "node", "n", "label", (F.col("n") - F.col("lone") - F.col("i")).alias("c"))
+    middle = F.aggregate("codes", F.lit(0).cast("long"), lambda a, x: a + x["k"]) / F.col("n")
+    first = own.where(room > 0).select("node", "n", "label", middle.alias("middle"), lone.alias("lone"), F.posexplode(F.slice("codes", 1, room.cast("int"))).alias("i", "x"))
+    return first.select(F.col("x.code").alias("key"), "node", "n", "label", "middle", (F.col("n") - F.col("lone") - F.col("i")).alias("c"))
 
 
 def _pairs(posts: DataFrame, near: Near) -> DataFrame:
@@ -235,7 +241,9 @@ def _links(docs: DataFrame, classes: DataFrame, near: Near) -> tuple[DataFrame,
         base = materialize(spread(base, several, ["key"], "node", near.parts), "base")
         if base.isEmpty():
             break
-        pairs = _star(base, turn, near) if turn < near.stars else _pairs(_shared_first(base.select("node", "n", "label").distinct(), sets, near), near)
+        # The last stars are those of the shingles, whose buckets hold the texts nearest to a group's middle.
+        posts = base.withColumn("middle", F.lit(0.0)) if turn < near.stars - 1 else _shared_first(base.select("node", "n", "label").distinct(), sets, near)
+        pairs = _star(posts, turn, near) if turn < near.stars else _pairs(posts, near)
         found = materialize(_linked(pairs, some, sets, near), "links")
         links.append(found)
         release(base)
