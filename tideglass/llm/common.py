@@ -6,6 +6,7 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,19 @@ def fold(doc_id, parts: int):
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
+def sliced(batches, column: int, most: int = 6_000_000):
+    """The batches' rows in slices of about ``most`` bytes of text at most; a longer text is a slice of its own."""
+    for batch in batches:
+        if batch.num_rows:
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+            start = 0
+            while start < batch.num_rows:
+                room = most + (ends[start - 1] if start else 0)
+                end = max(start + 1, int(np.searchsorted(ends, room, side="right")))
+                yield batch.slice(start, end - start)
+                start = end
+
+
 class WordHashes(dict):
     """64-bit hashes of words, kept while there are fewer than ``most``."""
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fold, on_one_worker, table
+from .common import fields, fold, on_one_worker, sliced, table
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 NONE = "und"
@@ -257,7 +257,7 @@ def identified(docs: DataFrame, tagger: Tagger) -> DataFrame:
 
     def run(batches):
         tagger = shared.value
-        for batch in batches:
+        for batch in sliced(batches, 1):
             texts = [words_of(x) for x in batch.column(1).to_pylist()]
             if tagger.langs:
                 share = tagger.shares(texts)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fold, materialize, on_one_worker, table, texts_of
+from .common import fields, fold, least_hashed, materialize, on_one_worker, sliced, table, texts_of
 
 END = b" "  # no word holds a blank
 
@@ -326,15 +326,32 @@ def _tails(counts: DataFrame, cfg: LM) -> np.ndarray:
     return out
 
 
+def _head(counts: DataFrame, cfg: LM) -> list[tuple[bytes, int]]:
+    """The most frequent words, ``cfg.head`` at most: all above a count that a histogram in sixteenths of powers of two gives."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
+    least, room = None, cfg.head
+    for r in sorted(sizes, reverse=True):
+        if r.words > room:
+            break
+        least, room = r.step, room - r.words
+    if least is None:
+        return [(bytes(r[0]), r[1]) for r in counts.where(F.col("word") == F.lit(END)).collect()]
+    rows = counts.where(step >= least).collect()
+    return sorted(((bytes(r[0]), r[1]) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 def _sample(train: DataFrame, cfg: LM) -> list[bytes]:
     """Whole texts in the order of a seeded hash of their ids, up to ``fit_docs`` and about ``fit_tokens`` tokens."""
-    ids = train.where("length(text) > 0").select("doc_id", F.length("text").alias("n")).orderBy(F.xxhash64("doc_id", F.lit(cfg.seed)), "doc_id").limit(cfg.fit_docs).collect()
+    filled = train.where("length(text) > 0 and doc_id is not null")
+    ids = least_hashed(filled.select("doc_id"), "doc_id", cfg.seed, cfg.fit_docs)
+    sizes = dict(filled.where(F.col("doc_id").isin(ids)).select("doc_id", F.length("text")).collect()) if ids else {}
     some, room = [], cfg.fit_tokens * 7
-    for r in ids:
-        if r[1] <= room:
-            some.append(r[0])
-            room -= r[1]
-    rows = train.where(F.col("doc_id").isin(some)).select("doc_id", F.col("text").cast("binary")).collect() if some else []
+    for i in ids:
+        if sizes[i] <= room:
+            some.append(i)
+            room -= sizes[i]
+    rows = filled.where(F.col("doc_id").isin(some)).select("doc_id", F.col("text").cast("binary")).collect() if some else []
     return [bytes(r[1]) for r in sorted(rows, key=lambda r: (r[0], bytes(r[1]))) if r[1]]
 
 
@@ -342,8 +359,7 @@ def fitted(train: DataFrame, cfg: LM = LM()) -> tuple[Model, DataFrame]:
     """The model of ``train(doc_id, text)`` and its counts (word, n)."""
     counts = materialize(counted(train), "counts")
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    head = [(bytes(r[0]), r[1]) for r in counts.orderBy(F.col("n").desc(), "word").limit(cfg.head).collect()]
-    model = Model(head, _tails(counts, cfg), total or 0, distinct, cfg)
+    model = Model(_head(counts, cfg), _tails(counts, cfg), total or 0, distinct, cfg)
     model.fit(train.sparkSession, _sample(train, cfg))
     return model, counts
 
@@ -357,7 +373,7 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, 1):
             rows = shared.value.scored(texts_of(batch.column(1)))
             n, k, b, s, rest = zip(*rows, strict=True) if rows else ([],) * 5
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in rest])]).astype(np.int32)
