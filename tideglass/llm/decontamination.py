@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, table, texts_of
+from .common import fields, sliced, table, texts_of
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ class Latent:
     least_terms: int = 8
     #: A window is projected if it has as many distinct terms, or all those of a shorter item.
     window_terms: int = 4
-    cosine: float = 0.5
+    cosine: float = 0.25
     #: Share of the item's words in the common subsequence: a copy, or a paraphrase if the answer is there too.
     copied: float = 0.8
     paraphrased: float = 0.6
@@ -291,7 +291,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cfg: Latent = Latent())
 
         def run(batches, shared=shared):
             search = shared.value
-            for batch in batches:
+            for batch in sliced(batches, 1):
                 found = search(texts_of(batch.column(1)))
                 ids, items = batch.column(0).to_pylist(), search.items
                 cols = list(zip(*[(ids[n], items.ids[j], c, s, m, len(items.words[j]), t) for n, j, c, s, m, t in found], strict=True)) or [[]] * 7
@@ -310,7 +310,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, cfg: Latent = Latent()) -> Data
         at = docs.columns.index("text")
 
         def run(batches, shared=shared, at=at):
-            for batch in batches:
+            for batch in sliced(batches, at):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[x[0] for x in shared.value(texts_of(batch.column(at)))]] = False
                 yield batch.filter(pa.array(keep))
