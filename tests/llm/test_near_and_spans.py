@@ -119,3 +119,14 @@ def test_repeats_within_one_text_and_equal_rows(spark):
     out = substring_dedup.without_repeats(df).collect()
     assert len(out) == 2 and out[0].text == out[1].text and out[0].text.count("second sentence") == 1
     assert substring_dedup.without_repeats(df.where("false")).count() == 0
+
+
+def test_a_passage_without_stops_goes_wherever_it_begins(spark):
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(60))
+    front = lambda k: " ".join(f"u{rng.randrange(10**9)}" for _ in range(k))
+    df = spark.createDataFrame([(i, f"{front(40 + i)} {passage} {front(40)}") for i in range(17)], "doc_id long, text string")
+    for r in substring_dedup.without_repeats(df).collect():
+        left = [w for w in r.text.split() if w[0] == "p"]
+        assert len(left) == 60 if r.doc_id == 0 else len(left) <= 2 * (8 - 1)
+        assert sum(w[0] == "u" for w in r.text.split()) == 80 + r.doc_id

@@ -11,15 +11,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, materialize, table, texts_of
+from .common import WORD, fields, materialize, mixed, table, texts_of
 
 #: A sentence ends after . ! or ? before a blank, and at a line's end.
 _END = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*")
+_WORD = re.compile(WORD.encode())
 
 
 @dataclass(frozen=True)
 class Spans:
-    """A run is the shortest from its first sentence with as many sentences and words; longer sentences are cut into pieces."""
+    """A run has at least as many sentences and words; in a sentence of over two pieces' words each word counts as one."""
 
     sentences: int = 2
     words: int = 20
@@ -27,39 +28,59 @@ class Spans:
 
 
 def sentences(text: bytes, spans: Spans = Spans()) -> list[tuple[int, int, list[bytes]]]:
-    """(start, end, lower-cased words) of each sentence; one of over two pieces' words is cut every ``piece`` words."""
+    """(start, end, lower-cased words) of each sentence, or of each word of one of over two pieces' words.
+
+    Only the parts of one sentence follow each other without a gap.
+    """
     found, at = [], 0
     for start, end in [*((m.start(), m.end()) for m in _END.finditer(text)), (len(text), len(text))]:
         words = text[at:start].lower().split()
         if len(words) > 2 * spans.piece:
-            cuts = [at + m.start() for i, m in enumerate(re.finditer(rb"[^\x20\x09-\x0D]+", text[at:start])) if i % spans.piece == 0]
+            cuts = [at + m.start() for m in _WORD.finditer(text[at:start])]
             cuts[0] = at
             ends = [*cuts[1:], start]
-            found += [(a, b, words[i * spans.piece : (i + 1) * spans.piece]) for i, (a, b) in enumerate(zip(cuts, ends, strict=True))]
+            found += [(a, b, [w]) for a, b, w in zip(cuts, ends, words, strict=True)]
         elif words:
             found.append((at, start, words))
         at = end
     return found
 
 
-def runs(parts: list[tuple[int, int, list[bytes]]], spans: Spans = Spans()) -> list[tuple[int, int]]:
-    """(first, last + 1) of the run that starts at each sentence, where there is one."""
-    total = np.concatenate([[0], np.cumsum([len(w) for _, _, w in parts])]).astype(int)
-    out = []
-    for i in range(len(parts)):
-        j = max(i + spans.sentences, int(np.searchsorted(total, total[i] + spans.words)))
-        if j <= len(parts):
-            out.append((i, j))
-    return out
+def _picked(words: list[bytes], window: int) -> np.ndarray:
+    """Places of the least hash of four words among each ``window`` places: equal passages pick equal places wherever they begin."""
+    code = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    code = np.concatenate([code, np.zeros(3, np.uint64)])
+    code = mixed(sum(mixed(code[k : k + len(words)] + np.uint64(k)) * np.uint64(2 * k + 1) for k in range(4)))
+    return np.unique(np.lib.stride_tricks.sliding_window_view(code, window).argmin(axis=1) + np.arange(len(words) - window + 1))
 
 
-def _codes(text: bytes, spans: Spans) -> tuple[list[int], list[int], list[int]]:
+def runs(parts: list[tuple[int, int, list[bytes]]], spans: Spans = Spans()) -> list[tuple[int, int]]:
+    """(first, last + 1) of the shortest run from each sentence's start, and from picked words of a long one, where there is one.
+
+    A passage inside a long sentence is met by a run in each half piece of its words.
+    """
+    n = len(parts)
+    if not n:
+        return []
+    total = np.concatenate([[0], np.cumsum([len(w) for _, _, w in parts])]).astype(int)
+    opens = np.array([i == 0 or parts[i - 1][1] < parts[i][0] for i in range(n)], bool)
+    heads = np.flatnonzero(opens)
+    starts = [heads]
+    for a, b in zip(heads.tolist(), [*heads[1:].tolist(), n], strict=True):
+        if b - a > 1:
+            starts.append(a + _picked([w for _, _, (w,) in parts[a:b]], max(1, spans.piece // 2)))
+    i = np.unique(np.concatenate(starts))
+    j = np.maximum(i + spans.sentences, np.searchsorted(total, total[i] + spans.words))
+    return [(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if b <= n]
+
+
+def _codes(text: bytes, spans: Spans) -> tuple[np.ndarray, np.ndarray, list[int]]:
     parts = sentences(text, spans)
     joined = [b" ".join(w) for _, _, w in parts]
     at = runs(parts, spans)
     codes = [xxhash.xxh3_128_intdigest(b" ".join(joined[i:j])) for i, j in at]
     half = np.array([[c >> 64, c & (2**64 - 1)] for c in codes], np.uint64).reshape(-1, 2).view(np.int64)
-    return half[:, 0], half[:, 1], [i for i, _ in at]
+    return half[:, 0], half[:, 1], [i << 32 | j for i, j in at]
 
 
 def _spans(docs: DataFrame, spans: Spans) -> DataFrame:
@@ -75,13 +96,13 @@ def _spans(docs: DataFrame, spans: Spans) -> DataFrame:
                 of += [n] * len(i)
             take = lambda v: pa.array([v[n] for n in of], pa.int64())
             flat = lambda v: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64())
-            yield fields(doc_id=take(ids), own=take(keys), h1=flat(a), h2=flat(b), at=pa.array(at, pa.int32()))
+            yield fields(doc_id=take(ids), own=take(keys), h1=flat(a), h2=flat(b), at=pa.array(at, pa.int64()))
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("own"), "text").mapInArrow(run, "doc_id long, own long, h1 long, h2 long, at int")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("own"), "text").mapInArrow(run, "doc_id long, own long, h1 long, h2 long, at long")
 
 
 def repeated_spans(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
-    """(doc_id, own, starts): per text the first sentences of its runs that aren't the run's first occurrence.
+    """(doc_id, own, runs): per text the runs (first << 32 | last + 1) that aren't the run's first occurrence.
 
     The first occurrence is that of the least (doc_id, text code, position),
     null ids last. A run of any frequency is reduced by partial aggregation, and
@@ -95,15 +116,15 @@ def repeated_spans(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
     # Of the first document's own occurrences, the first stays; those are few.
     own = again.where(here).groupBy("h1", "h2").agg(F.min(F.struct("own", "at")).alias("f"))
     inner = again.where(here).join(own, ["h1", "h2"]).where(F.struct("own", "at") != F.col("f")).select("doc_id", "own", "at")
-    return again.where(~here).select("doc_id", "own", "at").union(inner).groupBy("doc_id", "own").agg(F.sort_array(F.collect_set("at")).alias("starts"))
+    return again.where(~here).select("doc_id", "own", "at").union(inner).groupBy("doc_id", "own").agg(F.sort_array(F.collect_set("at")).alias("runs"))
 
 
-def _cut(text: bytes, starts: list[int], spans: Spans) -> tuple[bytes, int, int, int]:
-    """The text without the sentences that the runs at ``starts`` cover; sentences, sentences and words removed."""
+def _cut(text: bytes, again: list[int], spans: Spans) -> tuple[bytes, int, int, int]:
+    """The text without the sentences that the runs ``again`` cover; sentences, sentences and words removed."""
     parts = sentences(text, spans)
-    gone, ends = set(), dict(runs(parts, spans))
-    for i in starts:
-        gone.update(range(i, ends.get(i, i)))
+    gone = set()
+    for x in again:
+        gone.update(range(x >> 32, x & (2**32 - 1)))
     kept, at = [], 0
     for i, (start, end, _) in enumerate(parts):
         if i in gone:
@@ -127,7 +148,7 @@ def without_repeats(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
     again = repeated_spans(docs, spans).withColumnsRenamed({"doc_id": "_d", "own": "_o"})
     rest = [c for c in docs.columns if c != "text"]
     d = docs.select(F.struct(*rest).alias("_rest"), "text")
-    met = d.join(again, F.col("_rest.doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_o")), "left").select("_rest", "text", "starts")
+    met = d.join(again, F.col("_rest.doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_o")), "left").select("_rest", "text", "runs")
 
     def run(batches):
         for batch in batches:
