@@ -130,3 +130,23 @@ def test_a_passage_without_stops_goes_wherever_it_begins(spark):
         left = [w for w in r.text.split() if w[0] == "p"]
         assert len(left) == 60 if r.doc_id == 0 else len(left) <= 2 * (8 - 1)
         assert sum(w[0] == "u" for w in r.text.split()) == 80 + r.doc_id
+
+
+def test_runs_equal_all_runs_of_whole_sentences(spark):
+    rng = random.Random(7)
+    sents = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 15))) + rng.choice(".!?") for _ in range(60)]
+    rows = [(i, [rng.choice(sents) for _ in range(rng.randrange(0, 25))]) for i in range(60)]
+    for i in range(60, 120):
+        of = rng.choice(rows[:60])[1]
+        a = rng.randrange(0, len(of) + 1)
+        rows.append((i, [f"u{i} one.", *of[a : a + rng.randrange(2, 9)], *([f"v{i} two."] if i % 3 else [])]))
+    want, seen = {}, {}
+    for i, parts in rows:
+        for a, b in itertools.combinations(range(len(parts) + 1), 2):
+            words = " ".join(parts[a:b]).split()
+            if b - a >= 2 and len(words) >= 20 and seen.setdefault(tuple(words), (i, a)) != (i, a):
+                want.setdefault(i, set()).update(range(a, b))
+    df = spark.createDataFrame([(i, " ".join(p)) for i, p in rows], "doc_id long, text string")
+    for r in substring_dedup.without_repeats(df).collect():
+        parts, gone = dict(rows)[r.doc_id], want.get(r.doc_id, set())
+        assert r.text.split() == " ".join(p for k, p in enumerate(parts) if k not in gone).split() and r.n_removed == len(gone)

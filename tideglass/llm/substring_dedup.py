@@ -55,9 +55,11 @@ def _picked(words: list[bytes], window: int) -> np.ndarray:
 
 
 def runs(parts: list[tuple[int, int, list[bytes]]], spans: Spans = Spans()) -> list[tuple[int, int]]:
-    """(first, last + 1) of the shortest run from each sentence's start, and from picked words of a long one, where there is one.
+    """(first, last + 1) of the shortest run from each sentence's start, that to each sentence's end, and those from picked words of long ones, where there are such.
 
-    A passage inside a long sentence is met by a run in each half piece of its words.
+    Every sentence of a repeat that a longer run would cover is in one of these
+    inside the repeat. A passage inside a long sentence is met by a run in each
+    half piece of its words.
     """
     n = len(parts)
     if not n:
@@ -71,7 +73,10 @@ def runs(parts: list[tuple[int, int, list[bytes]]], spans: Spans = Spans()) -> l
             starts.append(a + _picked([w for _, _, (w,) in parts[a:b]], max(1, spans.piece // 2)))
     i = np.unique(np.concatenate(starts))
     j = np.maximum(i + spans.sentences, np.searchsorted(total, total[i] + spans.words))
-    return [(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if b <= n]
+    ends = np.append(heads[1:], n)
+    first = np.minimum(ends - spans.sentences, np.searchsorted(total, total[ends] - spans.words, side="right") - 1)
+    out = {(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if b <= n}
+    return sorted(out | {(a, b) for a, b in zip(first.tolist(), ends.tolist(), strict=True) if a >= 0})
 
 
 def _codes(text: bytes, spans: Spans) -> tuple[np.ndarray, np.ndarray, list[int]]:
