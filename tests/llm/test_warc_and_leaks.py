@@ -143,3 +143,31 @@ def test_leak_query_finds_whole_items(spark, sf_dir):
     exact = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
     got = set(zip(out.doc_id, out.item_id, strict=True))
     assert exact <= got and len(got - exact) <= 0.1 * len(exact) + 2
+
+
+def test_paraphrases_equal_brute_force(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(2000)]
+    text = lambda k: rng.choices(words, [1 / (i + 1) for i in range(2000)], k=k)
+    items = [text(rng.randrange(15, 60)) for _ in range(12)] + [["only", "two"]]
+    answers, rows = [], []
+    for item in items:
+        rare = sorted(range(len(item)), key=lambda p: -int(item[p][1:]) if item[p][0] == "w" else 0)[: int(0.38 * len(item))]
+        answers.append(" ".join(w for p, w in enumerate(item) if p not in rare))
+        for k in range(4):
+            w, at = text(rng.randrange(0, 200)), rng.randrange(0, 90)
+            w[at:at] = [f"new{rng.randrange(10**6)}" if p in rare and k else x for p, x in enumerate(item)]
+            rows.append((len(rows), " ".join(w)))
+    want, cfg = set(), Latent()
+    block = Items([(j, " ".join(x).encode(), a.encode()) for j, (x, a) in enumerate(zip(items, answers, strict=True))], True)
+    for (i, t), j in ((r, j) for r in rows for j in range(len(items))):
+        w, size = t.encode().split(), len(items[j])
+        for s in range(cfg.stride - cfg.passage, len(w), cfg.stride):
+            region = w[max(0, s - size // 2) :][: cfg.passage + size]
+            common, told = lcs(block.masks[j], region), len(block.answers[j] & set(region)) / max(1, len(block.answers[j]))
+            if common >= 0.6 * size and (common >= 0.8 * size or told >= 0.6):
+                want.add((i, j))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(j, " ".join(x), a) for j, (x, a) in enumerate(zip(items, answers, strict=True))], "item_id long, text string, answer string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()}
+    assert len(want) >= 40 and got == want

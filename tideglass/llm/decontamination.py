@@ -8,7 +8,9 @@ Three passes over the texts, none of which shuffles them:
    Gaussian, and the driver solves the Nystroem form of the small system;
 3. the search: windows are projected, compared with the items by cosine in the
    latent space, and candidates are checked on the words themselves by longest
-   common subsequence; paraphrases must also hold the item's answer.
+   common subsequence; paraphrases must also hold the item's answer. Places
+   that share enough of an item's rarest words for such a subsequence are
+   candidates too, whatever their cosine: none that the check would confirm is lost.
 
 Terms in more than ``most_share`` of the passages carry no evidence and are left
 out, but for an item's ``least_terms`` rarest, so that items of common words
@@ -36,7 +38,7 @@ class Latent:
     dims: int = 96
     most_share: float = 0.003
     least_terms: int = 8
-    #: A window is projected if it has as many distinct terms, or all those of a shorter item.
+    #: A window is projected if it has as many distinct terms, or all those of a shorter item; by shared words it must hold as many of an item's rarest beyond those that may be changed.
     window_terms: int = 4
     cosine: float = 0.25
     #: Share of the item's words in the common subsequence: a copy, or a paraphrase if the answer is there too.
@@ -93,8 +95,28 @@ class Items:
         self.longest = max(map(len, self.words), default=0)
         self.terms = {w: i for i, w in enumerate(sorted({w for words in self.words for w in words}))}
 
+    def gated(self, share: np.ndarray, cfg: Latent) -> None:
+        """Of each item so many of its rarest words that any text with the share ``paraphrased`` of its words holds ``least`` of them."""
+        posts: dict[bytes, list[int]] = {}
+        self.sizes, self.least = np.array([len(w) for w in self.words], np.int64), np.zeros(len(self.words), np.int64)
+        for j, words in enumerate(self.words):
+            if words:
+                m = max(1, int(np.ceil(cfg.paraphrased * len(words))))
+                spare, held = len(words) - m, 0
+                for w in sorted(self.counts[j], key=lambda w: (share[self.terms[w]], w)):
+                    if held >= spare + max(1, min(m, cfg.window_terms)):
+                        break
+                    held += self.counts[j][w]
+                    posts.setdefault(w, []).append(j)
+                self.least[j] = held - spare
+        self.gates = {w: i for i, w in enumerate(posts)}
+        self.post_sizes = np.array([len(x) for x in posts.values()], np.int64)
+        self.post_starts = np.cumsum(self.post_sizes) - self.post_sizes
+        self.posts = np.array([j for x in posts.values() for j in x], np.int64)
+
     def chosen(self, share: np.ndarray, cfg: Latent) -> None:
         """Keep the rare terms, and each item's rarest."""
+        self.gated(share, cfg)
         keep = share <= cfg.most_share
         for words in self.words:
             own = np.array([self.terms[w] for w in set(words)], int)
@@ -216,6 +238,76 @@ class Search:
 
     def __call__(self, texts: list[bytes | None]) -> list[tuple[int, int, float, int, int, float]]:
         """(text, item, cosine, start, common words, answer share) of the best window of each item in each text."""
+        best: dict[tuple[int, int], tuple] = {}
+        self._near(texts, best)
+        self._sharing(texts, best)
+        return [(n, j, *v) for (n, j), v in sorted(best.items())]
+
+    def _told(self, words: list[bytes], start: int, j: int) -> tuple[int, int, float] | None:
+        """Start, common words and answer share of item ``j`` round the window at ``start``, if it is there."""
+        cfg, items = self.cfg, self.items
+        size = len(items.words[j])
+        start = max(0, start - size // 2)
+        region = words[start : start + cfg.passage + size]
+        here = set(region)
+        if size - sum(map(items.counts[j].__getitem__, items.sets[j] - here)) < cfg.paraphrased * size:
+            return None
+        common = lcs(items.masks[j], region)
+        told = len(items.answers[j] & here) / max(1, len(items.answers[j]))
+        return (start, common, told) if common >= cfg.paraphrased * size and (common >= cfg.copied * size or told >= cfg.answered) else None
+
+    def _cosine(self, words: list[bytes], start: int, j: int) -> float:
+        t, n = np.unique([self.items.terms[w] for w in words[max(0, start) : max(0, start + self.cfg.passage)] if w in self.items.terms], return_counts=True)
+        t = t.astype(int)
+        p = ((1 + np.log(n)) * self.items.idf[t]) @ self.basis[t]
+        return float(p @ self.rows[j] / max(np.linalg.norm(p), 1e-9))
+
+    def _sharing(self, texts: list[bytes | None], best: dict, most: int = 1_000_000) -> None:
+        """What windows find that hold an item's ``least`` of its rarest words, over all texts."""
+        held, size = [], 0
+        for n, text in enumerate(texts):
+            _, at, gate = _hits(text, self.items.gates)
+            if len(at):
+                held.append((n, at, gate))
+                size += int(self.items.post_sizes[gate].sum())
+            if size > most:
+                self._shared(texts, held, best)
+                held, size = [], 0
+        if held:
+            self._shared(texts, held, best)
+
+    def _shared(self, texts: list[bytes | None], held: list, best: dict) -> None:
+        cfg, items = self.cfg, self.items
+        gate = np.concatenate([g for _, _, g in held])
+        doc, place = np.repeat([n for n, _, _ in held], [len(a) for _, a, _ in held]), np.concatenate([a for _, a, _ in held])
+        times = items.post_sizes[gate]
+        of = np.repeat(np.arange(len(gate)), times)
+        item = items.posts[np.repeat(items.post_starts[gate] - np.cumsum(times) + times, times) + np.arange(len(of))]
+        key = doc[of] * len(items.ids) + item
+        order = np.argsort(key, kind="stable")
+        key, item, place = key[order], item[order], place[of][order]
+        last = np.arange(len(key)) + items.least[item] - 1
+        i = np.flatnonzero(last < len(key))
+        last = last[i]
+        i, last = (x[(key[i] == key[last]) & (place[last] - place[i] < cfg.passage + items.sizes[item[i]])] for x in (i, last))
+        # The windows whose region, from half the item's size before them, holds those words.
+        size, step = items.sizes[item[i]], cfg.stride
+        low = np.maximum(-((cfg.passage - size // 2 + size - 1 - place[last]) // step), 1 - cfg.passage // step)
+        many = np.maximum((place[i] + size // 2) // step - low + 1, 0)
+        window = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        ahead = place[last] < cfg.passage + size
+        keys, windows = np.concatenate([np.repeat(key[i], many), key[i][ahead]]), np.concatenate([window, np.zeros(ahead.sum(), np.int64)])
+        now, words = -1, []
+        for k, w in sorted(set(zip(keys.tolist(), windows.tolist(), strict=True))):
+            n, j = divmod(k, len(items.ids))
+            if n != now:
+                now, words = n, plain_words(texts[n])
+            found = self._told(words, w * step, j)
+            if found and ((n, j) not in best or found[1] > best[n, j][2]):
+                best[n, j] = (self._cosine(words, w * step, j), *found)
+
+    def _near(self, texts: list[bytes | None], best: dict) -> None:
+        """What windows near an item in the latent space find."""
         cfg, items, spread = self.cfg, self.items, self.cfg.passage // self.cfg.stride
         docs, windows, terms, places, base = [], [], [], [], 0
         for n, text in enumerate(texts):
@@ -228,8 +320,7 @@ class Search:
                 places.append(base)
             base += size // cfg.stride + spread + 1
         if not windows:
-            return []
-        best: dict[tuple[int, int], tuple] = {}
+            return
         window, starts, sizes, term, weight = _vectors(np.concatenate(windows), np.concatenate(terms), items.idf)
         enough, places = np.flatnonzero(sizes >= items.need), np.array(places)
         for lo in range(0, len(enough), 2048):
@@ -251,17 +342,11 @@ class Search:
                 size, lacks = len(items.words[j]), items.sets[j] - held[2]
                 if size == 0 or size - sum(map(items.counts[j].__getitem__, lacks)) < cfg.paraphrased * size:
                     continue
-                start = max(0, start - size // 2)
-                region = words[start : start + cfg.passage + size]
-                common = lcs(items.masks[j], region)
-                if common < cfg.paraphrased * size:
-                    continue
-                told = len(items.answers[j] & set(region)) / max(1, len(items.answers[j]))
-                if common >= cfg.copied * size or told >= cfg.answered:
-                    new = (score, start, common, told)
+                found = self._told(words, start, j)
+                if found:
+                    new = (score, *found)
                     if (n, j) not in best or (new[2], new[0]) > (best[n, j][2], best[n, j][0]):
                         best[n, j] = new
-        return [(n, j, *v) for (n, j), v in sorted(best.items())]
 
 
 def _searches(docs: DataFrame, benchmark: DataFrame, cfg: Latent):
