@@ -106,6 +106,14 @@ def test_lm_edges(spark):
     assert lm_scoring.scored(df, model, counts).where("n_known > 0").count() == 0
 
 
+def test_lm_learns_from_all_texts(spark):
+    # No text fits the room of the first sample.
+    df = spark.createDataFrame([(i, "a b c d e f g h " * 12) for i in range(400)], "doc_id long, text string")
+    model, counts = lm_scoring.fitted(df, LM(near=10, per_class=5, head=12, tails=4, fit_tokens=1, rate=0.1))
+    r = lm_scoring.scored(df, model, counts).first()
+    assert r.score - r.base_score > 0.2 * r.n_tokens
+
+
 def _folds(name, parts, out):
     assert {(r.doc_id, r.held_out) for r in out.itertuples()} == {(i, crc32(str(i).encode()) % parts == name) for i in out.doc_id}
 

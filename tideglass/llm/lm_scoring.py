@@ -7,9 +7,11 @@ classes by their spelling's end; within one a word's share is its smoothed count
 over all training text, and what no training text has gets one slot a class, so
 the factors sum to one.
 
-Counts cover all training texts and meet in one shuffle by word. The network is
-fitted in numpy by truncated backpropagation on a bounded, documented sample of
-training tokens (``LM.fit_tokens``). Scoring carries the state across windows,
+Counts cover all training texts and meet in one shuffle by word. The network
+learns in numpy by truncated backpropagation: it starts from a fit on a bounded
+sample (``LM.fit_tokens``), then all training texts are read once, in ``LM.rounds``
+parts. In each round every task goes on from the common weights over its texts,
+and the weights' means by tokens are the next round's. Scoring carries the state across windows,
 so a text's score is that of the whole text. Words beyond the ``LM.head`` most
 frequent (the ones held in memory) get their counts from a join.
 """
@@ -17,7 +19,7 @@ frequent (the ones held in memory) get their counts from a join.
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import repeat
 from zlib import crc32
 
@@ -40,13 +42,17 @@ class LM:
     tails: int = 32
     #: Words whose counts each worker holds.
     head: int = 120_000
-    #: The network is fitted on the texts of least seeded hash, up to as many tokens and documents.
+    #: The network's first weights come from the texts of least seeded hash, up to as many tokens and documents.
     fit_tokens: int = 500_000
     fit_docs: int = 3000
     epochs: int = 3
     lanes: int = 64
     window: int = 32
     rate: float = 0.01
+    #: Then all texts are learnt from in as many rounds, in up to as many lanes, at a share of the rate.
+    rounds: int = 4
+    round_lanes: int = 256
+    round_rate: float = 0.3
     seed: int = 5
 
 
@@ -156,8 +162,8 @@ class Network:
         lanes = max(1, min(cfg.lanes, total // cfg.window))
         for epoch in range(cfg.epochs):
             flat = np.concatenate([texts[i] for i in rng.permutation(len(texts))])
-            length = len(flat) // lanes
-            flat = flat[: length * lanes].reshape(lanes, length).T
+            length = -(-len(flat) // lanes)
+            flat = np.resize(flat, length * lanes).reshape(lanes, length).T  # filled up from its start
             before = np.vstack([np.full((1, lanes), start, flat.dtype), flat[:-1]])
             state, loss = np.zeros((lanes, h), np.float32), 0.0
             for lo in range(0, length, cfg.window):
@@ -293,6 +299,41 @@ class Model:
 
             self.net.p = on_one_worker(spark, make)
 
+    def learn(self, train: DataFrame) -> None:
+        """Go on from the present weights over all texts of ``train(doc_id, text)``, each once."""
+        width, size = 64, sum(x.size for x in self.net.p.values())
+        names = [f"c{j}" for j in range(width)]
+        for r in range(self.cfg.rounds):
+            shared = train.sparkSession.sparkContext.broadcast(self)
+
+            def run(batches, shared=shared, r=r):
+                model = shared.value
+                cfg, net, n = model.cfg, Network.__new__(Network), 0
+                net.__dict__ = {**model.net.__dict__, "p": {k: x.copy() for k, x in model.net.p.items()}}
+                for batch in sliced(batches, 0):
+                    texts = [model.encoded(tokens(x))[0].astype(np.int32) for x in texts_of(batch.column(0))]
+                    total = sum(map(len, texts))
+                    lanes = max(1, min(cfg.round_lanes, total // (16 * cfg.window)))
+                    net.fit(texts, 0, replace(cfg, epochs=1, lanes=lanes, rate=cfg.rate * cfg.round_rate * (1 - r / cfg.rounds)))
+                    n += total
+                if n:
+                    flat = np.concatenate([net.p[k].ravel() for k in sorted(net.p)]).astype(np.float64) * n
+                    rows = np.resize(flat, (-(-len(flat) // width), width))
+                    yield fields(row=pa.array(np.arange(len(rows))), n=pa.array(np.full(len(rows), n)), **{c: pa.array(np.ascontiguousarray(rows[:, j])) for j, c in enumerate(names)})
+
+            part = train.where("text is not null").where(F.pmod(F.xxhash64("doc_id"), F.lit(self.cfg.rounds)) == r).select("text")
+            made = part.mapInArrow(run, "row long, n long, " + ", ".join(f"{c} double" for c in names))
+            sums = sorted(made.groupBy("row").agg(F.sum("n"), *[F.sum(c) for c in names]).collect())
+            shared.unpersist()
+            if sums:
+                flat, at = np.concatenate([np.array(x[2:]) / x[1] for x in sums])[:size].astype(np.float32), 0
+                now = {}
+                for k in sorted(self.net.p):
+                    old = self.net.p[k]
+                    now[k] = flat[at : at + old.size].reshape(old.shape)
+                    at += old.size
+                self.net.p = now
+
     def scored(self, texts: list[bytes | None]) -> list[tuple]:
         """Of each text: tokens, those known, sums of log(c + 1) and of model log probability but for words beyond the head, and those words with counts."""
         units, rows = [], []
@@ -361,6 +402,7 @@ def fitted(train: DataFrame, cfg: LM = LM()) -> tuple[Model, DataFrame]:
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     model = Model(_head(counts, cfg), _tails(counts, cfg), total or 0, distinct, cfg)
     model.fit(train.sparkSession, _sample(train, cfg))
+    model.learn(train)
     return model, counts
 
 
