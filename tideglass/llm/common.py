@@ -96,14 +96,26 @@ def fields(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def spread(left: DataFrame, right: DataFrame, on: list[str], by: str, parts: int = 16, how: str = "inner") -> DataFrame:
-    """Join to a ``right`` of one light row a key, each key's rows of ``left`` dealt to ``parts`` tasks by ``by``; for keys that may be very frequent on the left."""
+def joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A sort-merge join: nothing that grows is broadcast, and the runtime splits a frequent key of ``left``.
+
+    It can do so where both sides come from exchanges of their own; an
+    aggregate by ``on`` must be materialised before it is the right side.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
+def spread(left: DataFrame, right: DataFrame, on: list[str], by: str, parts: int = 16) -> DataFrame:
+    """Join to a ``right`` of one light row a key, each key's rows of ``left`` dealt to ``parts`` tasks by ``by``."""
     salted = left.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
-    return salted.join(right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), [*on, "_part"], how).drop("_part")
+    return joined(salted, right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), [*on, "_part"]).drop("_part")
 
 
-def _joined_here(pairs: DataFrame) -> DataFrame:
-    """The pairs of each partition as stars round the least node that they join there: the same components, no shuffle."""
+def _joined_here(pairs: DataFrame, most: int = 300_000) -> DataFrame:
+    """The pairs of each partition as stars round the least node that they join there: the same components, no shuffle.
+
+    A task holds ``most`` nodes at once at most; beyond that it passes on the stars so far and begins anew.
+    """
 
     def run(batches):
         up: dict[int, int] = {}
@@ -114,14 +126,20 @@ def _joined_here(pairs: DataFrame) -> DataFrame:
                 x = y
             return x
 
+        def stars() -> pa.RecordBatch:
+            rows = [(x, r) for x in list(up) if (r := root(x)) != x]
+            return fields(a=pa.array([x for x, _ in rows], pa.int64()), b=pa.array([r for _, r in rows], pa.int64()))
+
         for batch in batches:
             for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 a, b = root(a), root(b)
                 up.setdefault(a, a)
                 up.setdefault(b, b)
                 up[max(a, b)] = min(a, b)
-        rows = [(x, r) for x in list(up) if (r := root(x)) != x]
-        yield fields(a=pa.array([x for x, _ in rows], pa.int64()), b=pa.array([r for _, r in rows], pa.int64()))
+            if len(up) > most:
+                yield stars()
+                up.clear()
+        yield stars()
 
     return pairs.select("a", "b").mapInArrow(run, "a long, b long")
 
@@ -136,8 +154,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     Each partition first joins what it can by itself. If a bounded number of
     edges is left, one task joins those. Otherwise large-star and small-star
     steps alternate until no edge changes. A step is one aggregate
-    and one equi-join that deals a hub's edges to several tasks, and each round is written to the shared folder. Nodes without
-    edges aren't listed.
+    and one equi-join that deals a hub's edges to several tasks, and each round is written
+    to the shared folder. Nodes without edges aren't listed.
     """
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:

@@ -5,15 +5,16 @@ functions. Texts are posted under (coordinate, value). Two texts are candidates
 if they agree in ``matches`` coordinates; at similarity 0.8 and 26 of 48 about
 one pair in 75,000 is missed. Prefix: only the rarest ``size - matches + 1``
 coordinates of a text are joined, since two texts that agree in ``matches``
-share one of those. Skip: a text with fewer than ``matches`` coordinates that
-any other text has is never merged. Values shared by very many texts come last
-in that order, so a common passage or line seldom makes a bucket of its own. Sets
-of sizes too far apart to be so similar never share a bucket.
+share one of those. The collisions of a pair in them are counted in one
+aggregate. Skip: the long lists behind the prefix are never merged; the count is
+completed there by a look into both signatures. A text with fewer than
+``matches`` coordinates that any other text has is never posted. Sets of sizes
+too far apart to be so similar never share a bucket.
 
 Within a bucket not all pairs are made. Equal sets are one class first. Classes
-are then linked with centres of their bucket (a star, linear in the bucket), for
-a few turns, in the last with the text whose shingles are the most frequent;
-buckets that have become one component are done.
+are then paired with two centres of their bucket (a star, linear in the bucket):
+the one whose coordinates collide most, which is nearest to the middle of its
+group, and a seeded one. Buckets that have become one component are done.
 What is left open, texts of *different* components in one bucket, is checked
 whole, so that the components are those of all links: the open texts' shingles
 are put in order of frequency, rarest first, and two texts are a pair if they
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, fields, materialize, mixed, release, spread, table, texts_of
+from .common import WordHashes, components, fields, joined, materialize, mixed, release, table, texts_of
 
 
 @dataclass(frozen=True)
@@ -44,9 +45,8 @@ class Near:
     matches: int = 26
     seed: int = 7
     #: Turns of stars before the rest is checked whole.
-    stars: int = 2
-    #: A bucket's centre is joined to its members in as many parts; pairs of larger buckets are made block by block.
-    parts: int = 16
+    stars: int = 1
+    #: Pairs of larger buckets are made block by block.
     block: int = 200
 
 
@@ -103,17 +103,17 @@ def _signatures(docs: DataFrame, near: Near) -> DataFrame:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(node, key) for every coordinate of every class; the key mixes coordinate and value."""
+    """(node, n, key) for every coordinate of every class; the key mixes coordinate and value."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                node = batch.column(0).to_numpy()
-                sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(len(node), -1)
+                node, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(len(node), -1)
                 key = mixed(sig + np.arange(1, sig.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                yield fields(node=pa.array(np.repeat(node, sig.shape[1])), key=pa.array(key.ravel().view(np.int64)))
+                yield fields(node=pa.array(np.repeat(node, sig.shape[1])), n=pa.array(np.repeat(n, sig.shape[1])), key=pa.array(key.ravel().view(np.int64)))
 
-    return classes.select("node", "sig").mapInArrow(run, "node long, key long")
+    return classes.select("node", "n", "sig").mapInArrow(run, "node long, n long, key long")
 
 
 def _sets(docs: DataFrame, some: DataFrame, near: Near) -> DataFrame:
@@ -131,7 +131,7 @@ def _sets(docs: DataFrame, some: DataFrame, near: Near) -> DataFrame:
             yield fields(node=pa.array(nodes, pa.int64()), codes=pa.array(sets, pa.binary()))
 
     d = docs.select(F.col("doc_id").cast("long").alias("first"), "text")
-    return d.join(some.select("first", "node"), "first").select("text", "node").mapInArrow(run, "node long, codes binary").dropDuplicates(["node"])
+    return joined(d, some.select("first", "node"), ["first"]).select("text", "node").mapInArrow(run, "node long, codes binary").dropDuplicates(["node"])
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
@@ -147,29 +147,34 @@ def _linked(pairs: DataFrame, classes: DataFrame, sets: DataFrame, near: Near) -
     def similar(batches):
         for batch in batches:
             keep = []
-            for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            for p, q in zip(batch.column(2), batch.column(3), strict=True):
+                p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     side = lambda t, by, of, name: t.select(F.col("node").alias(by), F.col(of).alias(name))
-    signed = pairs.join(side(classes, "a", "sig", "sa"), "a").join(side(classes, "b", "sig", "sb"), "b")
+    signed = joined(joined(pairs, side(classes, "a", "sig", "sa"), ["a"]), side(classes, "b", "sig", "sb"), ["b"])
     agreed = signed.select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long")
-    whole = agreed.join(side(sets, "a", "codes", "ca"), "a").join(side(sets, "b", "codes", "cb"), "b")
+    whole = joined(joined(agreed, side(sets, "a", "codes", "ca"), ["a"]), side(sets, "b", "codes", "cb"), ["b"])
     return whole.select("a", "b", "ca", "cb").mapInArrow(similar, "a long, b long")
 
 
 def _prefixes(classes: DataFrame, near: Near) -> DataFrame:
-    """(key, node, n): each class that can have a partner, posted under its rarest coordinates and two size ranges."""
+    """(key, node, n, middle): each class that can have a partner, posted under its rarest coordinates and two size ranges.
+
+    ``middle`` is the number of collisions of all its coordinates: the greater, the nearer the class is to the middle of a group.
+    """
     posts = _postings(classes)
-    met = posts.join(posts.groupBy("key").agg(F.count("*").alias("often")).where("often > 1"), "key")
+    often = materialize(posts.groupBy("key").agg(F.count("*").alias("often")).where("often > 1"), "often")
     own = Window.partitionBy("node")  # as many rows as there are coordinates at most
-    ranked = met.withColumns({"rank": F.row_number().over(own.orderBy("often", "key")), "of": F.count("*").over(own)})
-    some = ranked.where((F.col("of") >= near.matches) & (F.col("rank") <= F.col("of") - near.matches + 1)).select("key", "node").join(classes.select("node", "n"), "node")
+    ranked = joined(posts, often, ["key"]).withColumns({"rank": F.row_number().over(own.orderBy("often", "key")), "of": F.count("*").over(own), "middle": F.sum("often").over(own)})
+    some = ranked.where((F.col("of") >= near.matches) & (F.col("rank") <= F.col("of") - near.matches + 1))
     # Sizes of similar sets differ by a factor of 100 / percent at most, that is by one range at most.
     size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / near.percent)) + 1e-9)
-    return some.withColumn("size", F.explode(F.array(size, size + 1))).select(F.xxhash64("key", "size").alias("key"), "node", "n")
+    out = materialize(some.withColumn("size", F.explode(F.array(size, size + 1))).select(F.xxhash64("key", "size").alias("key"), "node", "n", "middle"), "prefix")
+    release(often)
+    return out
 
 
 def _bound(near: Near, c, n):
@@ -182,21 +187,21 @@ def _alike(near: Near, c, n, d, m):
     return F.least(c, d) * (100 + near.percent) >= (n + m) * near.percent
 
 
-def _star(base: DataFrame, turn: int, near: Near) -> DataFrame:
-    """Candidate pairs of each bucket's members with two centres of other components: the one nearest the middle, and a seeded one."""
+def _star(base: DataFrame, turn: int, near: Near) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each bucket's members with two centres of other components, and what to release: the centre nearest the middle, and a seeded one.
+
+    The pairs' collisions are counted before anything is looked up.
+    """
     own, code = F.struct("node", "label", "n"), F.xxhash64("node", F.lit(turn))
-    most = F.struct("middle", code)
-    ends = base.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("g"), F.max_by(own, most).alias("c1"), F.min_by(own, code).alias("c2")).where("l <> g")
-    met = spread(base, ends.select("key", "c1", "c2"), ["key"], "node", near.parts).withColumn("hub", F.explode(F.array("c1", "c2")))
+    ends = base.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("g"), F.max_by(own, F.struct("middle", code)).alias("c1"), F.min_by(own, code).alias("c2"))
+    ends = materialize(ends.where("l <> g").select("key", "c1", "c2"), "centres")
+    met = joined(base, ends, ["key"]).withColumn("hub", F.explode(F.array_distinct(F.array("c1", "c2"))))
     met = met.where((F.col("label") != F.col("hub.label")) & _alike(near, F.col("n"), F.col("n"), F.col("hub.n"), F.col("hub.n")))
-    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    return met.groupBy(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).agg(F.count("*").alias("collisions")).select("a", "b"), ends
 
 
 def _shared_first(nodes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """(key, node, n, label, middle, c): each open text under the rarest shingles that a partner must share one of.
-
-    c is the most it can share from there on, middle the mean frequency of its shingles: the greater, the nearer a group's middle.
-    """
+    """(key, node, n, label, c): each open text under the rarest shingles that a partner must share one of; c is the most it can share from there on."""
 
     def run(batches):
         for batch in batches:
@@ -204,54 +209,71 @@ def _shared_first(nodes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
             owner = np.repeat(batch.column(0).to_numpy(), [len(c) for c in codes])
             yield fields(code=pa.array(np.concatenate(codes) if codes else np.zeros(0, np.int64)), node=pa.array(owner, pa.int64()))
 
-    each = sets.join(nodes, "node", "left_semi").select("node", "codes").mapInArrow(run, "code long, node long")
-    often = each.groupBy("code").agg(F.count("*").alias("k")).where("k > 1")
-    own = each.join(often, "code").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "code"))).alias("codes")).join(nodes, "node")
+    each = materialize(joined(sets, nodes.select("node"), ["node"]).select("node", "codes").mapInArrow(run, "code long, node long"), "shingles")
+    often = materialize(each.groupBy("code").agg(F.count("*").alias("k")).where("k > 1"), "often")
+    own = joined(joined(each, often, ["code"]).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "code"))).alias("codes")), nodes, ["node"])
     lone = F.col("n") - F.size("codes")  # shared by no other, so first in order
     room = F.col("n") - F.ceil(F.col("n") * near.percent / 100.0 - 1e-9) + 1 - lone
-    middle = F.aggregate("codes", F.lit(0).cast("long"), lambda a, x: a + x["k"]) / F.col("n")
-    first = own.where(room > 0).select("node", "n", "label", middle.alias("middle"), lone.alias("lone"), F.posexplode(F.slice("codes", 1, room.cast("int"))).alias("i", "x"))
-    return first.select(F.col("x.code").alias("key"), "node", "n", "label", "middle", (F.col("n") - F.col("lone") - F.col("i")).alias("c"))
+    first = own.where(room > 0).select("node", "n", "label", lone.alias("lone"), F.posexplode(F.slice("codes", 1, room.cast("int"))).alias("i", "x"))
+    out = materialize(first.select(F.col("x.code").alias("key"), "node", "n", "label", (F.col("n") - F.col("lone") - F.col("i")).alias("c")), "first")
+    release(each)
+    release(often)
+    return out
 
 
 def _pairs(posts: DataFrame, near: Near) -> DataFrame:
     """Pairs of different components among postings (key, node, n, label, c), as far as sizes and places allow; larger buckets in blocks of bounded size."""
     ends = posts.groupBy("key").agg(F.min("n").alias("lo"), F.max(_bound(near, F.col("c"), F.col("n"))).alias("hi"), F.min("label").alias("l"), F.max("label").alias("g"))
-    kept = spread(posts, ends.where("l <> g").select("key", "lo", "hi"), ["key"], "node", near.parts)
-    kept = materialize(kept.where((F.col("lo") <= _bound(near, F.col("c"), F.col("n"))) & (F.col("n") <= F.col("hi"))).drop("lo", "hi"), "open")
+    ends = materialize(ends.where("l <> g").select("key", "lo", "hi"), "ends")
+    kept = materialize(joined(posts, ends, ["key"]).where((F.col("lo") <= _bound(near, F.col("c"), F.col("n"))) & (F.col("n") <= F.col("hi"))).drop("lo", "hi"), "open")
     sizes = kept.groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("l"), F.max("label").alias("g")).where("l <> g")
-    base = spread(kept, sizes.select("key", F.ceil(F.col("rows") / near.block).cast("int").alias("m")), ["key"], "node", near.parts)
-    base = base.withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
+    sizes = materialize(sizes.select("key", F.ceil(F.col("rows") / near.block).cast("int").alias("m")), "sizes")
+    base = joined(kept, sizes, ["key"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("m") - 1))
     x = base.select("key", F.col("own").alias("p"), every.alias("q"), F.col("node").alias("a"), F.col("label").alias("la"), "n", "c")
     y = base.select("key", every.alias("p"), F.col("own").alias("q"), F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("m"), F.col("c").alias("d"))
-    met = x.join(y, ["key", "p", "q"]).where((F.col("la") < F.col("lb")) & _alike(near, F.col("c"), F.col("n"), F.col("d"), F.col("m")))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = joined(x, y, ["key", "p", "q"]).where((F.col("la") < F.col("lb")) & _alike(near, F.col("c"), F.col("n"), F.col("d"), F.col("m")))
+    out = materialize(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    for t in (ends, kept, sizes):
+        release(t)
+    return out
+
+
+def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels(node, label)`` after the links ``found(a, b)``."""
+    named = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}"))
+    ends = joined(joined(found, named("a"), ["a"]), named("b"), ["b"])
+    roots = materialize(components(ends.where("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")), "roots"), "roots")
+    new = joined(labels, roots.withColumnRenamed("node", "label"), ["label"], "left").select("node", F.coalesce("root", "label").alias("label"))
+    new = materialize(new, "labels")
+    release(roots)
+    return new
 
 
 def _links(docs: DataFrame, classes: DataFrame, near: Near) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The surviving classes, their components' labels (node, label) and the links (a, b) confirmed."""
-    prefix = materialize(_prefixes(classes, near), "prefix")
-    some = materialize(classes.join(prefix.select("node").distinct(), "node", "left_semi"), "survivors")
+    prefix = _prefixes(classes, near)
+    some = materialize(joined(classes, prefix.select("node").distinct(), ["node"], "left_semi"), "survivors")
     sets = materialize(_sets(docs, some, near), "sets")
     labels, links = some.select("node", F.col("node").alias("label")), []
-    for turn in range(near.stars + 1):
-        base = prefix.join(labels, "node")
-        several = base.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("g")).where("l <> g").select("key")
-        base = materialize(spread(base, several, ["key"], "node", near.parts), "base")
-        if base.isEmpty():
-            break
-        # The last stars are those of the shingles, whose buckets hold the texts nearest to a group's middle.
-        posts = base.withColumn("middle", F.lit(0.0)) if turn < near.stars - 1 else _shared_first(base.select("node", "n", "label").distinct(), sets, near)
-        pairs = _star(posts, turn, near) if turn < near.stars else _pairs(posts, near)
-        found = materialize(_linked(pairs, some, sets, near), "links")
-        links.append(found)
-        release(base)
-        named = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}"))  # noqa: E731, B023
-        ends = spread(spread(found, named("a"), ["a"], "b", near.parts), named("b"), ["b"], "a", near.parts)
-        roots = materialize(components(ends.where("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")), "roots"), "roots")
-        renamed = spread(labels, roots.withColumnRenamed("node", "label"), ["label"], "node", near.parts, "left")
-        labels = materialize(renamed.select("node", F.coalesce("root", "label").alias("label")), "labels")
+    for turn in range(near.stars):
+        base = prefix.withColumn("label", F.col("node")) if turn == 0 else joined(prefix, labels, ["node"])
+        pairs, ends = _star(base, turn, near)
+        links.append(materialize(_linked(pairs, some, sets, near), "links"))
+        release(ends)
+        labels = _relabelled(labels, links[-1])
+    base = joined(prefix, labels, ["node"])
+    several = materialize(base.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("g")).where("l <> g").select("key"), "several")
+    nodes = materialize(joined(base, several, ["key"]).select("node", "n", "label").distinct(), "unsettled")
+    if not nodes.isEmpty():
+        posts = _shared_first(nodes, sets, near)
+        pairs = _pairs(posts, near)
+        links.append(materialize(_linked(pairs, some, sets, near), "links"))
+        release(posts)
+        release(pairs)
+        labels = _relabelled(labels, links[-1])
+    for t in (prefix, sets, several, nodes):
+        release(t)
     return some, labels, reduce(DataFrame.union, links) if links else some.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
 
 
@@ -271,10 +293,11 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     classes = materialize(real.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
     some, labels, links = _links(docs, classes, near)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    nodes = some.select("node", "first").join(labels, "node").join(degree, "node", "left")
-    found = spread(nodes, nodes.groupBy("label").agg(F.min("first").alias("root")), ["label"], "node", near.parts).select("node", "root", "links")
-    every = materialize(classes.select("node", "first").join(found, "node", "left"), "classes")
-    out = sigs.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("node", F.xxhash64("doc_id"))).alias("node")).join(every, "node", "left")
+    nodes = joined(joined(some.select("node", "first"), labels, ["node"]), degree, ["node"], "left")
+    roots = materialize(nodes.groupBy("label").agg(F.min("first").alias("root")), "roots")
+    found = joined(nodes, roots, ["label"]).select("node", "root", "links")
+    every = materialize(joined(classes.select("node", "first"), found, ["node"], "left"), "classes")
+    out = joined(sigs.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("node", F.xxhash64("doc_id"))).alias("node")), every, ["node"], "left")
     real = F.col("n_shingles") > 0
     out = out.select("doc_id", "n_shingles", F.when(real, F.col("first")).otherwise(F.col("doc_id")).alias("class_id"), F.when(real, F.coalesce("root", "first")).otherwise(F.col("doc_id")).alias("component_id"), F.when(real, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("links"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -287,4 +310,4 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: those whose doc_id is their component's least. Five words, 0.8."""
     kept = near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
+    return docs.join(kept.hint("merge"), docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
