@@ -36,7 +36,7 @@ END = b" "  # no word holds a blank
 @dataclass(frozen=True)
 class LM:
     hidden: int = 24
-    #: Words with a softmax of their own, and the size of their classes.
+    #: Words with a softmax of their own, and the mean size of their classes.
     near: int = 2000
     per_class: int = 50
     tails: int = 32
@@ -66,18 +66,18 @@ def tail_of(word: bytes, tails: int) -> int:
     return crc32(word.rstrip(b".,;:!?")[-3:]) % tails
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
-def _log_sums(x: np.ndarray) -> np.ndarray:
-    """log of the sum of exp over the last axis; the maximum is taken out only where single precision needs it."""
+def _exp_sums(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """exp of rows (made in place), their sums, and the logarithms of the true sums; the maximum is taken out only where single precision needs it."""
     with np.errstate(over="ignore", divide="ignore"):
-        out = np.log(np.exp(x) @ np.ones(x.shape[-1], x.dtype))
-    if not np.isfinite(out).all():
+        e = np.exp(x)
+        sums = e @ np.ones(x.shape[-1], x.dtype)
+        logs = np.log(sums)
+    if not np.isfinite(logs).all():
         top = x.max(axis=-1)
-        out = top + np.log(np.exp(x - top[..., None]).sum(axis=-1))
-    return out
+        e = np.exp(x - top[..., None])
+        sums = e.sum(axis=-1)
+        logs = top + np.log(sums)
+    return e, sums, logs
 
 
 class Network:
@@ -88,8 +88,13 @@ class Network:
 
     def __init__(self, near: int, cfg: LM, unit_counts: np.ndarray):
         rng, h = np.random.default_rng(cfg.seed), cfg.hidden
-        self.h, self.near, self.size = h, near, cfg.per_class
-        self.near_classes = -(-near // cfg.per_class)
+        self.h, self.near = h, near
+        # Classes by frequency, of equal sums of square roots of counts: frequent words are in small ones.
+        root = np.cumsum(np.sqrt(unit_counts[:near] + 0.5))
+        place = np.minimum((root - root[:1]) / root[-1:] * -(-near // cfg.per_class), -(-near // cfg.per_class) - 1).astype(int)
+        named, first = np.unique(place, return_index=True)
+        self.near_classes, self.bounds = len(named), np.append(first, near)
+        self.of = np.repeat(np.arange(self.near_classes), np.diff(self.bounds))
         self.classes = self.near_classes + cfg.tails
         mass = np.zeros(self.classes)
         np.add.at(mass, self.class_of(np.arange(near + cfg.tails)), unit_counts + 0.5)
@@ -99,59 +104,82 @@ class Network:
             "b": np.zeros(3 * h),
             "c": rng.normal(0, 0.05, (h, self.classes)),
             "cb": np.log(mass / mass.sum()),
-            "w": rng.normal(0, 0.05, (self.near_classes * cfg.per_class, h)),
-            "wb": np.concatenate([np.log(unit_counts[:near] + 0.5), np.full(self.near_classes * cfg.per_class - near, -30.0)]),
+            "w": rng.normal(0, 0.05, (near, h)),
+            "wb": np.log(unit_counts[:near] + 0.5),
         }
         for k in p:
             p[k] = p[k].astype(np.float32)
 
     def class_of(self, unit: np.ndarray) -> np.ndarray:
-        return np.where(unit < self.near, unit // self.size, self.near_classes + unit - self.near)
-
-    def steps(self, units: np.ndarray, state: np.ndarray, keep: bool = False):
-        """States after each of ``units`` (time x lanes), and what backpropagation needs."""
-        h, out, kept, u, b = self.h, [], [], self.p["u"], self.p["b"]
-        inputs = self.p["x"][units] + b
-        for t in range(len(units)):
-            a, r = inputs[t], state @ u
-            zr = _sigmoid(a[:, : 2 * h] + r[:, : 2 * h])
-            z, g = zr[:, :h], zr[:, h:]
-            n = np.tanh(a[:, 2 * h :] + g * r[:, 2 * h :])
-            new = n + z * (state - n)
-            if keep:
-                kept.append((state, z, g, n, r[:, 2 * h :]))
-            out.append(new)
-            state = new
-        return np.stack(out) if out else np.zeros((0, *state.shape), np.float32), state, kept
+        return np.where(unit < self.near, self.of[np.minimum(unit, self.near - 1)], self.near_classes + unit - self.near)
+
+    def steps(self, units: np.ndarray, state: np.ndarray, live: np.ndarray | None = None):
+        """States after each of ``units`` (time x lanes), the last one and, where ``live`` (0: the state is cleared before) is given, what backpropagation needs."""
+        h, (steps, lanes), p, kind = self.h, units.shape, self.p, self.p["u"].dtype
+        u = np.ascontiguousarray(p["u"][:, : 2 * h]), np.ascontiguousarray(p["u"][:, 2 * h :])
+        gates, new = (p["x"][:, : 2 * h] + p["b"][: 2 * h])[units], (p["x"][:, 2 * h :] + p["b"][2 * h :])[units]
+        out = np.empty((steps, lanes, h), kind)
+        r = np.empty((lanes, 2 * h), kind)
+        inner = np.empty((steps if live is not None else 1, lanes, h), kind)
+        before = np.empty((steps, lanes, h), kind) if live is not None else None
+        for t in range(steps):
+            if live is not None:
+                state = np.multiply(state, live[t][:, None], out=before[t])
+            g, n, c = gates[t], new[t], inner[t if live is not None else 0]
+            g += np.matmul(state, u[0], out=r)
+            np.negative(g, out=g)
+            np.exp(g, out=g)
+            g += 1
+            np.reciprocal(g, out=g)
+            np.matmul(state, u[1], out=c)
+            n += g[:, h:] * c
+            np.tanh(n, out=n)
+            o = np.subtract(state, n, out=out[t])
+            o *= g[:, :h]
+            o += n
+            state = o
+        return out, state, (before, gates, new, inner)
 
     def outputs(self, states: np.ndarray, target: np.ndarray, grads: dict | None = None):
         """Log probability of each target unit's class, and of near words within it, at each state; gradients by the way."""
-        p, cls, at = self.p, self.class_of(target), np.arange(len(target))
-        logits = states @ p["c"] + p["cb"]
-        sums, back = _log_sums(logits), None
-        score = logits[at, cls] - sums
-        if grads is not None:
-            d = np.exp(logits - sums[:, None])
-            d[at, cls] -= 1
-            grads["c"] += states.T @ d
-            grads["cb"] += d.sum(axis=0)
-            back = d @ p["c"].T
+        p, cls = self.p, self.class_of(target)
+        score, back = np.empty(len(target), states.dtype), np.empty_like(states) if grads is not None else None
+        for lo in range(0, len(target), 2048):  # what a processor's cache holds
+            some, of = states[lo : lo + 2048], cls[lo : lo + 2048]
+            at = np.arange(len(of))
+            logits = some @ p["c"]
+            logits += p["cb"]
+            picked = logits[at, of]
+            d, sums, logs = _exp_sums(logits)
+            np.subtract(picked, logs, out=score[lo : lo + 2048])
+            if grads is not None:
+                d /= sums[:, None]
+                d[at, of] -= 1
+                grads["c"] += some.T @ d
+                grads["cb"] += d.sum(axis=0)
+                np.matmul(d, p["c"].T, out=back[lo : lo + 2048])
         near = np.flatnonzero(target < self.near)
         order = near[np.argsort(cls[near], kind="stable")]
+        own, state = target[order], states[order]
         bounds = np.flatnonzero(np.diff(cls[order], prepend=-1, append=-1)) if len(order) else []
+        more, inside = np.empty(len(order), state.dtype), np.empty_like(state)
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            i = order[lo:hi]
-            first = int(cls[i[0]]) * self.size
-            rows, k, own = slice(first, first + self.size), np.arange(len(i)), target[i] - first
-            logits = states[i] @ p["w"][rows].T + p["wb"][rows]
-            sums = _log_sums(logits)
-            score[i] += logits[k, own] - sums
+            first, last = self.bounds[self.of[own[lo]]], self.bounds[self.of[own[lo]] + 1]
+            rows, k, j = slice(first, last), np.arange(hi - lo), own[lo:hi] - first
+            logits = state[lo:hi] @ p["w"][rows].T
+            logits += p["wb"][rows]
+            more[lo:hi] = logits[k, j]
+            d, sums, logs = _exp_sums(logits)
+            more[lo:hi] -= logs
             if grads is not None:
-                d = np.exp(logits - sums[:, None])
-                d[k, own] -= 1
-                grads["w"][rows] += d.T @ states[i]
+                d /= sums[:, None]
+                d[k, j] -= 1
+                grads["w"][rows] += d.T @ state[lo:hi]
                 grads["wb"][rows] += d.sum(axis=0)
-                back[i] += d @ p["w"][rows]
+                np.matmul(d, p["w"][rows], out=inside[lo:hi])
+        score[order] += more
+        if grads is not None:
+            back[order] += inside
         return score, back
 
     def fit(self, texts: list[np.ndarray], start: int, cfg: LM) -> list[float]:
@@ -170,48 +198,60 @@ class Network:
                 x, y = before[lo : lo + cfg.window], flat[lo : lo + cfg.window]
                 # A text's first token follows an end, which clears the state: as in scoring, texts are independent.
                 grads = {k: np.zeros_like(q) for k, q in p.items()}
-                out, state, kept = self._reset_steps(x, state, start)
+                live = (x != start).astype(np.float32)
+                out, state, kept = self.steps(x, state, live)
                 score, back = self.outputs(out.reshape(-1, h), y.ravel(), grads)
-                loss -= float(score.sum())
-                self._back(x, kept, back.reshape(out.shape), grads, start)
+                loss -= float(score.sum(dtype=float))
+                self._back(x, kept, back.reshape(out.shape), grads, live)
                 turn += 1
                 rate = cfg.rate * (1 - (epoch + lo / length) / cfg.epochs) + 1e-4
                 for k, g in grads.items():
-                    g = np.clip(g / y.size * 8, -1, 1)
-                    m[k] += 0.1 * (g - m[k])
-                    v[k] += 0.01 * (g * g - v[k])
-                    p[k] -= (rate * (m[k] / (1 - 0.9**turn)) / (np.sqrt(v[k] / (1 - 0.99**turn)) + 1e-6)).astype(np.float32)
+                    g *= np.float32(8 / y.size)
+                    np.clip(g, -1, 1, out=g)
+                    # Adam with decays 0.9 and 0.99, in place: g is the scratch array from its last use on.
+                    m[k] *= np.float32(0.9)
+                    m[k] += np.float32(0.1) * g
+                    g *= g
+                    g *= np.float32(0.01)
+                    v[k] *= np.float32(0.99)
+                    v[k] += g
+                    np.sqrt(v[k], out=g)
+                    g *= np.float32((1 - 0.99**turn) ** -0.5)
+                    g += np.float32(1e-6)
+                    np.divide(m[k], g, out=g)
+                    g *= np.float32(rate / (1 - 0.9**turn))
+                    p[k] -= g
             told.append(loss / max(1, flat.size))
         return told
 
-    def _reset_steps(self, x: np.ndarray, state: np.ndarray, start: int):
-        out, kept = [], []
-        for t in range(len(x)):
-            state = np.where((x[t] == start)[:, None], np.float32(0), state)
-            got, state, k = self.steps(x[t : t + 1], state, keep=True)
-            out.append(got[0])
-            kept += k
-        return np.stack(out), state, kept
-
-    def _back(self, x: np.ndarray, kept: list, back: np.ndarray, grads: dict, start: int) -> None:
-        h, u = self.h, self.p["u"]
-        later = np.zeros_like(back[0])
-        inputs = np.zeros((*x.shape, 3 * h), np.float32)
+    def _back(self, x: np.ndarray, kept: tuple, back: np.ndarray, grads: dict, live: np.ndarray) -> None:
+        """Add the gradients of a window from those of its states, ``back``."""
+        h, u = self.h, np.ascontiguousarray(self.p["u"].T)
+        before, gates, n, inner = kept
+        z, g = np.ascontiguousarray(gates[..., :h]), np.ascontiguousarray(gates[..., h:])
+        # What does not hang on later steps, for all steps at once.
+        by_n = (1 - z) * (1 - n * n)
+        by_z = (before - n) * z * (1 - z)
+        by_g = inner * g * (1 - g)
+        later, dn = np.zeros_like(back[0]), np.empty_like(back)
+        dr = np.empty((*x.shape, 3 * h), back.dtype)
         for t in range(len(x) - 1, -1, -1):
-            state, z, g, n, rn = kept[t]
-            d = back[t] + later
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (state - n) * z * (1 - z)
-            dg = dn * rn * g * (1 - g)
-            dr = np.concatenate([dz, dg, dn * g], axis=1)
-            inputs[t] = np.concatenate([dz, dg, dn], axis=1)
-            grads["u"] += state.T @ dr
-            later = (d * z + dr @ u.T) * (x[t] != start)[:, None]
-        grads["b"] += inputs.sum(axis=(0, 1))
-        flat, order = inputs.reshape(-1, 3 * h), np.argsort(x.ravel(), kind="stable")
-        unit = x.ravel()[order]
-        first = np.flatnonzero(np.diff(unit, prepend=-1))
-        grads["x"][unit[first]] += np.add.reduceat(flat[order], first, axis=0)
+            d = back[t]
+            d += later
+            np.multiply(d, by_n[t], out=dn[t])
+            np.multiply(d, by_z[t], out=dr[t, :, :h])
+            np.multiply(dn[t], by_g[t], out=dr[t, :, h : 2 * h])
+            np.multiply(dn[t], g[t], out=dr[t, :, 2 * h :])
+            np.matmul(dr[t], u, out=later)
+            d *= z[t]
+            later += d
+            later *= live[t][:, None]
+        grads["u"] += before.reshape(-1, h).T @ dr.reshape(-1, 3 * h)
+        dr[..., 2 * h :] = dn
+        flat, unit = np.ascontiguousarray(dr.reshape(-1, 3 * h).T), x.ravel()
+        grads["b"] += flat.sum(axis=1)
+        for j, column in enumerate(flat):
+            grads["x"][:, j] += np.bincount(unit, column, len(grads["x"]))
 
     def scored(self, texts: list[np.ndarray], start: int, lanes: int = 256, window: int = 64) -> np.ndarray:
         """Sum over each whole text of the log probabilities (natural), the state carried from window to window."""
