@@ -119,7 +119,7 @@ class Items:
         self.gated(share, cfg)
         keep = share <= cfg.most_share
         for words in self.words:
-            own = np.array([self.terms[w] for w in set(words)], int)
+            own = np.array([self.terms[w] for w in sorted(set(words))], int)
             keep[own[np.argsort(share[own], kind="stable")][: cfg.least_terms]] = True
         old = np.array(list(self.terms.values()))
         self.idf = np.log(1 / np.maximum(share, 1e-12))[old][keep[old]].clip(0.1)
@@ -235,12 +235,16 @@ class Search:
             if len(t):
                 rows[i] = ((1 + np.log(n)) * items.idf[t.astype(int)]) @ basis[t.astype(int)]
         self.rows = (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+        # One look-up a word tells whether it is a term and whether it is a gate.
+        self.known = {w: i for i, w in enumerate(dict.fromkeys([*items.terms, *items.gates]))}
+        self.term_of = np.array([items.terms.get(w, -1) for w in self.known], np.int32)
+        self.gate_of = np.array([items.gates.get(w, -1) for w in self.known], np.int32)
 
     def __call__(self, texts: list[bytes | None]) -> list[tuple[int, int, float, int, int, float]]:
         """(text, item, cosine, start, common words, answer share) of the best window of each item in each text."""
         best: dict[tuple[int, int], tuple] = {}
-        self._near(texts, best)
-        self._sharing(texts, best)
+        hits = [_hits(text, self.known) for text in texts]
+        self._near(texts, hits, self._sharing(texts, hits, best), best)
         return [(n, j, *v) for (n, j), v in sorted(best.items())]
 
     def _told(self, words: list[bytes], start: int, j: int) -> tuple[int, int, float] | None:
@@ -262,21 +266,23 @@ class Search:
         p = ((1 + np.log(n)) * self.items.idf[t]) @ self.basis[t]
         return float(p @ self.rows[j] / max(np.linalg.norm(p), 1e-9))
 
-    def _sharing(self, texts: list[bytes | None], best: dict, most: int = 1_000_000) -> None:
-        """What windows find that hold an item's ``least`` of its rarest words, over all texts."""
-        held, size = [], 0
-        for n, text in enumerate(texts):
-            _, at, gate = _hits(text, self.items.gates)
-            if len(at):
-                held.append((n, at, gate))
-                size += int(self.items.post_sizes[gate].sum())
+    def _sharing(self, texts: list[bytes | None], hits: list, best: dict, most: int = 1_000_000) -> np.ndarray:
+        """What windows find that hold an item's ``least`` of its rarest words; the sorted keys (text * items + item) of all pairs with such a window."""
+        held, size, keys = [], 0, [np.zeros(0, np.int64)]
+        for n, (_, at, known) in enumerate(hits):
+            gate = self.gate_of[known]
+            some = np.flatnonzero(gate >= 0)
+            if len(some):
+                held.append((n, at[some], gate[some]))
+                size += int(self.items.post_sizes[gate[some]].sum())
             if size > most:
-                self._shared(texts, held, best)
+                keys.append(self._shared(texts, held, best))
                 held, size = [], 0
         if held:
-            self._shared(texts, held, best)
+            keys.append(self._shared(texts, held, best))
+        return np.unique(np.concatenate(keys))
 
-    def _shared(self, texts: list[bytes | None], held: list, best: dict) -> None:
+    def _shared(self, texts: list[bytes | None], held: list, best: dict) -> np.ndarray:
         cfg, items = self.cfg, self.items
         gate = np.concatenate([g for _, _, g in held])
         doc, place = np.repeat([n for n, _, _ in held], [len(a) for _, a, _ in held]), np.concatenate([a for _, a, _ in held])
@@ -305,13 +311,21 @@ class Search:
             found = self._told(words, w * step, j)
             if found and ((n, j) not in best or found[1] > best[n, j][2]):
                 best[n, j] = (self._cosine(words, w * step, j), *found)
+        return key[i]
+
+    def _near(self, texts: list[bytes | None], hits: list, pairs: np.ndarray, best: dict) -> None:
+        """What windows near an item in the latent space find.
 
-    def _near(self, texts: list[bytes | None], best: dict) -> None:
-        """What windows near an item in the latent space find."""
+        A window is read only if its text and item are among ``pairs``: the words
+        in common that are asked for hold ``least`` of the item's rarest, so no
+        other window would be confirmed.
+        """
         cfg, items, spread = self.cfg, self.items, self.cfg.passage // self.cfg.stride
         docs, windows, terms, places, base = [], [], [], [], 0
-        for n, text in enumerate(texts):
-            size, at, term = _hits(text, items.terms)
+        for n, (size, at, known) in enumerate(hits):
+            term = self.term_of[known]
+            some = np.flatnonzero(term >= 0)
+            at, term = at[some], term[some]
             if len(at) >= items.need:
                 slot = base + at // cfg.stride
                 windows.append((slot[:, None] + np.arange(spread)).ravel())
@@ -322,7 +336,7 @@ class Search:
         if not windows:
             return
         window, starts, sizes, term, weight = _vectors(np.concatenate(windows), np.concatenate(terms), items.idf)
-        enough, places = np.flatnonzero(sizes >= items.need), np.array(places)
+        enough, places, docs = np.flatnonzero(sizes >= items.need), np.array(places), np.array(docs)
         for lo in range(0, len(enough), 2048):
             some = enough[lo : lo + 2048]
             first = np.cumsum(sizes[some]) - sizes[some]
@@ -331,17 +345,13 @@ class Search:
             cos = p @ self.rows.T / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-9)
             near, which = np.nonzero(cos >= cfg.cosine)
             at = np.searchsorted(places, window[some[near]], side="right") - 1
+            real = np.isin(docs[at] * len(items.ids) + which, pairs)
+            near, which, at = near[real], which[real], at[real]
             ends = (window[some[near]] - places[at] - spread + 1) * cfg.stride
-            held, words = (-1, 0, frozenset()), []
-            for i, j, start, score in zip(at.tolist(), which.tolist(), ends.tolist(), cos[near, which].tolist(), strict=True):
-                n = docs[i]
-                if held[:2] != (i, start):
-                    words = words if held[0] == i else plain_words(texts[n])
-                    held = i, start, frozenset(words[max(0, start - items.longest // 2) : start + cfg.passage + items.longest])
-                # Words of the item that are nowhere near are missing from any common subsequence.
-                size, lacks = len(items.words[j]), items.sets[j] - held[2]
-                if size == 0 or size - sum(map(items.counts[j].__getitem__, lacks)) < cfg.paraphrased * size:
-                    continue
+            now, words = -1, []
+            for n, j, start, score in zip(docs[at].tolist(), which.tolist(), ends.tolist(), cos[near, which].tolist(), strict=True):
+                if n != now:
+                    now, words = n, plain_words(texts[n])
                 found = self._told(words, start, j)
                 if found:
                     new = (score, *found)
