@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 from tideglass.llm import common, minhash_dedup, substring_dedup
@@ -142,6 +143,40 @@ def test_spans_equal_brute_force(spark):
             assert out[i].text == t
 
 
+def _split(text):
+    """Words of each sentence, read letter by letter."""
+    blanks, out, words, word, at = " \t\n\x0b\x0c\r", [], [], "", 0
+    while at < len(text):
+        if text[at] not in blanks:
+            word += text[at].lower()
+            at += 1
+            continue
+        gap = at
+        while at < len(text) and text[at] in blanks:
+            at += 1
+        if word:
+            words.append(word)
+        if "\n" in text[gap:at] or word[-1:] in (".", "!", "?"):
+            out.append(words)
+            words = []
+        word = ""
+    out.append(words + [word] * bool(word))
+    return [w for w in out if w]
+
+
+def test_sentences_are_split_as_read_letter_by_letter():
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choice("abC .!?\n\t  ") for _ in range(rng.randrange(0, 60)))
+        assert [[w.decode() for w in ws] for _, _, ws in substring_dedup.sentences(text.encode())] == _split(text)
+
+
+def test_a_megabyte_of_blanks_takes_linear_time():
+    began = time.perf_counter()
+    assert len(substring_dedup.sentences(b"one. " + b" " * 1_000_000 + b"two\n" + b"\n \t" * 300_000 + b"x")) == 3
+    assert time.perf_counter() - began < 1.5
+
+
 def test_a_repeated_passage_stays_once(spark):
     passage = " ".join(f"Sentence {i} holds quite a few words of its own." for i in range(8))
     df = spark.createDataFrame([(i, f"Start {i} unique words here. {passage} Close {i} also unique.") for i in range(5)], "doc_id long, text string")

@@ -11,10 +11,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, fields, materialize, mixed, table, texts_of
+from .common import WORD, fields, joined, materialize, mixed, release, table, texts_of
 
-#: A sentence ends after . ! or ? before a blank, and at a line's end.
-_END = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*")
+#: A sentence ends after . ! or ? before a blank, and at a line's end. Tried once a run of blanks, so in linear time.
+_END = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|(?<![\x20\x09-\x0D])[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*")
 _WORD = re.compile(WORD.encode())
 
 
@@ -110,18 +110,24 @@ def repeated_spans(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
     """(doc_id, own, runs): per text the runs (first << 32 | last + 1) that aren't the run's first occurrence.
 
     The first occurrence is that of the least (doc_id, text code, position),
-    null ids last. A run of any frequency is reduced by partial aggregation, and
-    the join back is split where it is skewed.
+    null ids last. A run of any frequency is reduced by partial aggregation and
+    written before the join back, so that the runtime can split a frequent one.
     """
     every = materialize(_spans(docs, spans), "spans")
     known = F.coalesce("doc_id", F.lit(2**63 - 1))
-    first = every.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(known).alias("d")).where("n > 1").drop("n")
-    again = materialize(every.join(first, ["h1", "h2"]), "again")
+    first = materialize(every.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(known).alias("d")).where("n > 1").drop("n"), "first")
+    again = materialize(joined(every, first, ["h1", "h2"]), "again")
+    release(every)
+    release(first)
     here = known == F.col("d")
-    # Of the first document's own occurrences, the first stays; those are few.
-    own = again.where(here).groupBy("h1", "h2").agg(F.min(F.struct("own", "at")).alias("f"))
-    inner = again.where(here).join(own, ["h1", "h2"]).where(F.struct("own", "at") != F.col("f")).select("doc_id", "own", "at")
-    return again.where(~here).select("doc_id", "own", "at").union(inner).groupBy("doc_id", "own").agg(F.sort_array(F.collect_set("at")).alias("runs"))
+    # Of the first document's own occurrences, the first stays.
+    own = materialize(again.where(here).groupBy("h1", "h2").agg(F.min(F.struct("own", "at")).alias("f")), "own")
+    inner = joined(again.where(here), own, ["h1", "h2"]).where(F.struct("own", "at") != F.col("f")).select("doc_id", "own", "at")
+    runs = again.where(~here).select("doc_id", "own", "at").union(inner).groupBy("doc_id", "own").agg(F.sort_array(F.collect_set("at")).alias("runs"))
+    runs = materialize(runs, "runs")
+    release(again)
+    release(own)
+    return runs
 
 
 def _cut(text: bytes, again: list[int], spans: Spans) -> tuple[bytes, int, int, int]:
@@ -153,7 +159,7 @@ def without_repeats(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
     again = repeated_spans(docs, spans).withColumnsRenamed({"doc_id": "_d", "own": "_o"})
     rest = [c for c in docs.columns if c != "text"]
     d = docs.select(F.struct(*rest).alias("_rest"), "text")
-    met = d.join(again, F.col("_rest.doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_o")), "left").select("_rest", "text", "runs")
+    met = d.join(again.hint("merge"), F.col("_rest.doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_o")), "left").select("_rest", "text", "runs")
 
     def run(batches):
         for batch in batches:
