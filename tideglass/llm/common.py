@@ -80,6 +80,17 @@ def on_one_worker(spark: SparkSession, make):
     return pickle.loads(bytes(spark.range(0, 1, 1, 1).mapInArrow(run, "made binary").first()[0]))
 
 
+def fitted_from(rows: DataFrame, make):
+    """``make(sorted rows)``, run in one Python worker that gets the rows from Spark; they never pass through the driver. For samples of bounded size."""
+
+    def run(batches):
+        got = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        yield fields(made=pa.array([pickle.dumps(make(sorted(got)))], pa.binary()))
+
+    made = rows.repartition(1).mapInArrow(run, "made binary").first()
+    return pickle.loads(bytes(made[0])) if made else make([])
+
+
 _STEPS = 10**9
 
 

@@ -4,7 +4,8 @@ A word's emission scores come from hashed character n-grams with boundary marks
 (the affixes are those that hold a mark) and from a lexicon of the languages'
 frequent words; transitions are learnt. Training sequences are windows of
 labelled texts, some of them spliced from two languages. Forward-backward gives
-each word's marginals, whose sums over a whole text decide its language.
+each word's marginals, whose sums over a whole text decide its language; the
+likeliest language of each word gives the runs that a text switches between.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fold, on_one_worker, sliced, table
+from .common import fields, fitted_from, fold, sliced, table
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 NONE = "und"
@@ -26,9 +28,8 @@ NONE = "und"
 
 @dataclass(frozen=True)
 class Field:
-    #: Texts of each language that it is fitted on at most, those of least seeded hash, and words of each.
-    per_language: int = 150
-    words_per_text: int = 400
+    #: Windows of each language that it is fitted on at most: those of least seeded hash among all windows of all its labelled texts.
+    per_language: int = 2500
     grams: tuple[int, ...] = (1, 2, 3, 4)
     buckets: int = 1 << 16
     lexicon: int = 300
@@ -139,7 +140,7 @@ class Tagger:
         by_lang = [[x for y, x in coded if y == j] for j in range(k)]
         windows = [(y, x[i : i + cfg.length]) for y, x in coded for i in range(0, len(x), cfg.length)]
         share = np.bincount([y for y, _ in windows], minlength=k)
-        sw, st = np.full(self.w.shape, 1e-2, np.float32), np.full((k, k), 1e-2, np.float32)
+        sw, st, ss = np.full(self.w.shape, 1e-2, np.float32), np.full((k, k), 1e-2, np.float32), np.full(k, 1e-2, np.float32)
         for _ in range(cfg.epochs):
             order = rng.permutation(len(windows))
             for lo in range(0, len(order), cfg.batch):
@@ -183,11 +184,14 @@ class Tagger:
                 self.w[rows] -= cfg.rate * (gw[rows] / np.sqrt(sw[rows]) + cfg.ridge * self.w[rows])
                 st += gt**2
                 self.trans -= cfg.rate * gt / np.sqrt(st)
+                gs = (gamma[0] - np.eye(k)[gold[0]]).mean(axis=0).astype(np.float32)
+                ss += gs**2
+                self.start -= cfg.rate * gs / np.sqrt(ss)
 
-    def shares(self, texts: list[list[str]], lanes: int = 512) -> np.ndarray:
-        """Mean marginal of each language over each whole text (texts x languages)."""
+    def shares(self, texts: list[list[str]], lanes: int = 512) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Mean marginal of each language over each whole text (texts x languages), and the likeliest language of each word."""
         k = len(self.langs)
-        out = np.zeros((len(texts), k))
+        out, tags = np.zeros((len(texts), k)), [np.zeros(0, np.int64)] * len(texts)
         index: dict[str, int] = {}
         coded = [np.fromiter((index.setdefault(w, len(index)) for w in ws), np.int32, len(ws)) for ws in texts]
         e = self.emissions(list(index)) if index else np.zeros((1, k), np.float32)
@@ -201,53 +205,85 @@ class Tagger:
                 ids = np.zeros((size[0], len(part)), np.int32)
                 for j, i in enumerate(part):
                     ids[: size[j], j] = coded[i]
-                out[part] = self.marginals(e[ids], size)[0].sum(axis=0) / size[:, None]
-        return out
+                gamma = self.marginals(e[ids], size)[0]
+                out[part] = gamma.sum(axis=0) / size[:, None]
+                best = gamma.argmax(axis=2)
+                for j, i in enumerate(part):
+                    tags[i] = best[: size[j], j]
+        return out, tags
+
 
+def _windows(train: DataFrame, cfg: Field) -> DataFrame:
+    """(lang, at, words): of each language's labelled texts, wherever in them, about ``per_language`` or more windows of least hash ``at``.
+
+    The rate comes from the language's bytes: about one window in as many as it has is let through where it has many.
+    """
+    filled = train.where("length(text) > 0 and lang is not null").select("lang", F.col("text").cast("string").alias("text"))
+    sizes = {r[0]: r[1] for r in filled.groupBy("lang").agg(F.sum(F.octet_length("text"))).collect()}
+    rates = {k: min(1.0, 3.0 * cfg.per_language * cfg.length * 6 / n) for k, n in sizes.items()}
 
-def _texts(train: DataFrame, cfg: Field) -> list[tuple[str, int, str]]:
-    """Up to ``per_language`` (lang, id, text) of each language, those of least seeded hash."""
-    filled = train.where("length(text) > 0 and doc_id is not null and lang is not null")
-    sizes = {r[0]: r[1] for r in filled.groupBy("lang").count().collect()}
-    few: set[int] = set()
-    # One pass for all languages: each lets through about as many hashes as it needs.
-    steps, most = 10**9, cfg.per_language
-    cuts = [x for k, n in sizes.items() for x in (F.lit(k), F.lit(steps if n <= 2 * most else int(steps * (most + 5 * most**0.5 + 5) / n)))]
-    if cuts:
-        at = F.pmod(F.xxhash64("doc_id", F.lit(cfg.seed)), F.lit(steps))
-        found = filled.select("lang", "doc_id", at.alias("at")).where(F.col("at") <= F.try_element_at(F.create_map(*cuts), F.col("lang"))).distinct().collect()
-        for k in sizes:
-            few.update(r.doc_id for r in sorted((r for r in found if r.lang == k), key=lambda r: (r.at, r.doc_id))[:most])
-    rows = filled.where(F.col("doc_id").isin(few)).select("lang", "doc_id", "text").collect() if few else []
-    return sorted((r[0], r[1], r[2]) for r in rows if r[2])
+    def run(batches):
+        for batch in batches:
+            langs, hashes, words = [], [], []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ws = words_of(text)
+                for i in range(0, len(ws), cfg.length):
+                    part = " ".join(ws[i : i + cfg.length])
+                    at = xxhash.xxh3_64_intdigest(part.encode(), cfg.seed) >> 1
+                    if at < rates[lang] * 2**63:
+                        langs.append(lang)
+                        hashes.append(at)
+                        words.append(part)
+            yield fields(lang=pa.array(langs, pa.string()), at=pa.array(hashes, pa.int64()), words=pa.array(words, pa.string()))
+
+    return filled.mapInArrow(run, "lang string, at long, words string").distinct()
 
 
 def fitted(train: DataFrame, cfg: Field = Field()) -> Tagger:
-    """A tagger learnt from ``train(doc_id, text, lang)``; a long text teaches by windows spread over all of it."""
-    rows = _texts(train, cfg)
-    langs = sorted({r[0] for r in rows})
-    rng = np.random.default_rng(cfg.seed)
-    texts, seen = [], [Counter() for _ in langs]
-    for lang, _, text in rows:
-        ws, y = words_of(text), langs.index(lang)
-        seen[y].update(ws)
-        if len(ws) > cfg.words_per_text:
-            starts = np.sort(rng.choice(len(ws) // cfg.length, cfg.words_per_text // cfg.length, replace=False)) * cfg.length
-            ws = [w for s in starts for w in ws[s : s + cfg.length]]
-        texts.append((y, ws))
-    lexicon = {w: i for i, w in enumerate(dict.fromkeys(w for c in seen for w, _ in c.most_common(cfg.lexicon)))}
-    task = train.sparkSession.sparkContext.broadcast(texts)
-
-    def make():
+    """A tagger learnt from ``train(text, lang)``; every labelled text is read whole, each of its windows is as likely to teach, repeated ones teach once."""
+
+    def make(rows):
+        langs = sorted({r[0] for r in rows})
+        texts = [(langs.index(k), ws.split(" ")) for lang in langs for k, _, ws in [r for r in rows if r[0] == lang][: cfg.per_language]]
+        seen = [Counter() for _ in langs]
+        for y, ws in texts:
+            seen[y].update(ws)
+        lexicon = {w: i for i, w in enumerate(dict.fromkeys(w for c in seen for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[: cfg.lexicon]))}
         tagger = Tagger(langs, lexicon, cfg)
-        tagger.fit(task.value)
+        tagger.fit(texts)
         return tagger
 
-    return on_one_worker(train.sparkSession, make)
+    return fitted_from(_windows(train, cfg), make)
+
+
+def _runs(tags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and lengths of the runs of equal tags."""
+    first = np.flatnonzero(np.diff(tags, prepend=-1))
+    return first, np.diff(np.append(first, len(tags)))
+
+
+def tagged(docs: DataFrame, tagger: Tagger) -> DataFrame:
+    """(doc_id, runs) of every row of ``docs(doc_id, text)``: the runs of words of one language, each with ``lang``, ``first`` (word) and ``words``.
+
+    A word is a run of letters. A null text, one without a letter and every text
+    where no language was learnt have no runs.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(tagger)
+
+    def run(batches):
+        tagger = shared.value
+        for batch in sliced(batches, 1):
+            texts = [words_of(x) for x in batch.column(1).to_pylist()]
+            tags = tagger.shares(texts)[1] if tagger.langs else [np.zeros(0, np.int64)] * len(texts)
+            rows = [[{"lang": tagger.langs[t[f]], "first": int(f), "words": int(n)} for f, n in zip(*_runs(t), strict=True)] for t in tags]
+            kind = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("words", pa.int64())]))
+            yield fields(doc_id=batch.column(0), runs=pa.array(rows, kind))
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, runs array<struct<lang: string, first: long, words: long>>")
 
 
 def identified(docs: DataFrame, tagger: Tagger) -> DataFrame:
-    """(doc_id, lang_pred, score) of every row of ``docs(doc_id, text)``.
+    """(doc_id, lang_pred, score, n_runs) of every row of ``docs(doc_id, text)``; n_runs counts the runs of words of one language.
 
     A null text and one without a letter are ``und`` with score 0, and so is
     everything where no language was learnt. Of equal shares the language first
@@ -260,18 +296,19 @@ def identified(docs: DataFrame, tagger: Tagger) -> DataFrame:
         for batch in sliced(batches, 1):
             texts = [words_of(x) for x in batch.column(1).to_pylist()]
             if tagger.langs:
-                share = tagger.shares(texts)
+                share, tags = tagger.shares(texts)
                 best = share.argmax(axis=1)
                 langs = [tagger.langs[b] if t else NONE for b, t in zip(best, texts, strict=True)]
                 score = np.where([bool(t) for t in texts], share.max(axis=1), 0.0)
             else:
-                langs, score = [NONE] * len(texts), np.zeros(len(texts))
-            yield fields(doc_id=batch.column(0), lang_pred=pa.array(langs, pa.string()), score=pa.array(np.clip(score, 0, 1), pa.float64()))
+                langs, score, tags = [NONE] * len(texts), np.zeros(len(texts)), [np.zeros(0, np.int64)] * len(texts)
+            n_runs = [len(_runs(t)[0]) for t in tags]
+            yield fields(doc_id=batch.column(0), lang_pred=pa.array(langs, pa.string()), score=pa.array(np.clip(score, 0, 1), pa.float64()), n_runs=pa.array(n_runs, pa.int64()))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double, n_runs long")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, part = table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), fold(F.col("doc_id"), 4)
     tagger = fitted(docs.where((part != 2) & F.col("lang").isNotNull()))
-    return identified(docs, tagger).select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    return identified(docs, tagger).select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_runs")
