@@ -186,6 +186,46 @@ def test_naming_a_group_is_worth_nothing():
     assert abs(own - twin) < loose
 
 
+def test_toxic_gradients_equal_differences():
+    rng = np.random.default_rng(2)
+    cells = [sorted(rng.choice(7, rng.integers(0, 5), replace=False).tolist()) for _ in range(12)]
+    rest = toxicity.Sentences(cells, [(3, [0, 2]), (5, [6]), (9, [])], 7, toxicity.Toxic(ridge=0.1, counterfactual=2.0))
+    w, bias, label, weight = rng.normal(size=7), 0.3, rng.integers(0, 2, 12).astype(float), rng.random(12)
+    _, gw, gb = rest.loss(w, bias, label, weight)
+    for j in range(7):
+        step = np.eye(7)[j] * 1e-6
+        assert (rest.loss(w + step, bias, label, weight)[0] - rest.loss(w - step, bias, label, weight)[0]) / 2e-6 == pytest.approx(gw[j], abs=1e-6)
+    assert (rest.loss(w, bias + 1e-6, label, weight)[0] - rest.loss(w, bias - 1e-6, label, weight)[0]) / 2e-6 == pytest.approx(gb, abs=1e-6)
+
+
+def test_a_twin_names_another_group():
+    lines = [line.split() for line in toxicity.IDENTITY.split("\n") if line]
+    words = [w for line in lines for w in line]
+    assert len(words) == len(set(words)) and all(len(line) > 1 for line in lines)
+    assert toxicity.swapped([b"the", b"women", b"and", b"jews"]) == [b"the", b"men", b"and", b"hindus"] and toxicity.swapped([b"the"]) is None
+
+
+def test_words_of_a_spliced_text_are_labelled(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    train = docs.where((fold(F.col("doc_id"), 4) != 2) & F.col("lang").isNotNull())
+    tagger = language_id.fitted(train)
+    held = [r for r in docs.where((fold(F.col("doc_id"), 4) == 2) & F.col("lang").isNotNull()).orderBy("doc_id").collect() if len(language_id.words_of(r.text)) >= 60]
+    assert len(tagger.langs) > 1 and np.abs(tagger.start).max() > 0
+    rows, want = [], []
+    for a in held[:40]:
+        b = next(x for x in held if x.lang != a.lang)
+        rows.append((len(rows), " ".join([*language_id.words_of(a.text)[:30], *language_id.words_of(b.text)[:30]])))
+        want.append([a.lang] * 30 + [b.lang] * 30)
+    got = {r.doc_id: r.runs for r in language_id.tagged(spark.createDataFrame([*rows, (900, None), (901, "12 !")], "doc_id long, text string"), tagger).collect()}
+    assert got[900] == got[901] == []
+    right = 0
+    for i, tags in enumerate(want):
+        labels = [r.lang for r in got[i] for _ in range(r.words)]
+        assert [r.first for r in got[i]] == np.cumsum([0, *(r.words for r in got[i])])[:-1].tolist() and len(labels) == 60
+        right += sum(x == y for x, y in zip(labels, tags, strict=True))
+    assert right > 0.95 * 60 * len(want)
+
+
 def test_forward_backward_equals_enumeration():
     cfg = language_id.Field()
     tagger = language_id.Tagger(["a", "b", "c"], {}, cfg)
@@ -226,6 +266,6 @@ def test_language_edges_and_switching(spark):
     docs = spark.createDataFrame(EDGE, "doc_id long, text string").withColumn("lang_pred", F.lit("x"))
     out = {r.doc_id: r for r in language_id.identified(docs, tagger).collect()}
     assert all(out[i].lang_pred == "und" and out[i].score == 0 for i in (901, 902, 903, 904)) and out[907].lang_pred == "en"
-    share = tagger.shares([language_id.words_of("the house of that man was here der hund und das haus von dem mann")])[0]
+    share = tagger.shares([language_id.words_of("the house of that man was here der hund und das haus von dem mann")])[0][0]
     assert 0.2 < share[0] < 0.8
     assert {r.lang_pred for r in language_id.identified(docs, language_id.fitted(train.where("false"))).collect()} == {"und"}

@@ -21,17 +21,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fold, least_hashed, on_one_worker, table, texts_of
-
-#: Neutral names of groups, by kind; any term may stand for another of its kind.
-IDENTITY = {
-    "religion": "muslim muslims christian christians jew jews jewish hindu hindus buddhist buddhists atheist atheists catholic catholics musulman musulmans chrétien chrétiens juif juifs moslem christ jude juden musulmanes cristianos judíos",
-    "origin": "african africans asian asians arab arabs european europeans mexican mexicans american americans immigrant immigrants refugee refugees africain asiatique arabe européen immigré ausländer flüchtling afrikaner asiat inmigrantes africanos asiáticos árabes",
-    "colour": "black white brown noir noirs blanc blancs schwarze weiße negro negros blanco blancos",
-    "gender": "woman women man men girl girls boy boys female male transgender femme femmes homme hommes frau frauen mann männer mujer mujeres hombre hombres",
-    "orientation": "gay gays lesbian lesbians straight bisexual queer homosexual heterosexual lesbienne schwul lesbisch lesbiana",
-    "body": "disabled deaf blind old young elderly handicapé sourd aveugle behindert taub blinde discapacitado sordo ciego",
-}
+from .common import fields, fitted_from, fold, least_hashed, sliced, table, texts_of
+
+#: Neutral names of different groups, a line a kind, language and number; any term may stand for another of its line.
+IDENTITY = """
+muslim christian jewish hindu buddhist atheist catholic
+muslims christians jews hindus buddhists atheists catholics
+musulman chrétien juif
+musulmans chrétiens juifs
+moslem christ jude
+musulmanes cristianos judíos
+african asian arab european mexican american
+africans asians arabs europeans mexicans americans
+immigrant refugee
+immigrants refugees
+africain asiatique arabe européen
+afrikaner asiat europäer
+africanos asiáticos árabes inmigrantes
+black white brown
+noir blanc
+noirs blancs
+schwarze weiße
+negro blanco
+negros blancos
+woman man
+women men
+girl boy
+girls boys
+female male
+femme homme
+femmes hommes
+frau mann
+frauen männer
+mujer hombre
+mujeres hombres
+gay lesbian straight bisexual queer
+gays lesbians
+homosexual heterosexual
+schwul lesbisch
+disabled deaf blind
+old young
+sourd aveugle
+behindert taub
+sordo ciego
+"""
 
 
 @dataclass(frozen=True)
@@ -72,11 +105,11 @@ def features(word: bytes, cfg: Toxic) -> list[bytes]:
     return [word, *(b"^" + word[:n] for n in cfg.prefixes if len(word) >= n)]
 
 
-_KIND = {w.encode(): [x.encode() for x in terms.split()] for terms in IDENTITY.values() for w in terms.split()}
+_KIND = {w.encode(): [x.encode() for x in line.split()] for line in IDENTITY.split("\n") for w in line.split()}
 
 
 def swapped(words: list[bytes]) -> list[bytes] | None:
-    """The sentence with each identity term replaced by the next of its kind; None if it has none."""
+    """The sentence with each identity term replaced by the next group of its kind; None if it has none."""
     if not any(w in _KIND for w in words):
         return None
     return [k[(k.index(w) + 1) % len(k)] if (k := _KIND.get(w)) else w for w in words]
@@ -130,6 +163,28 @@ def _suspects(texts: list[tuple[int, set[bytes]]], cfg: Toxic) -> dict[bytes, fl
     return out
 
 
+class Sentences:
+    """Sentences as rows of a sparse matrix, with the differences between those that name a group and their twins."""
+
+    def __init__(self, cells: list[list[int]], twins: list[tuple[int, list[int]]], width: int, cfg: Toxic):
+        self.size, self.width, self.cfg, self.pairs = len(cells), width, cfg, max(1, len(twins))
+        self.row, self.col = np.repeat(np.arange(len(cells)), [len(c) for c in cells]), np.array([j for c in cells for j in c], int)
+        sides = [(k, j, sign) for k, (i, other) in enumerate(twins) for side, sign in ((cells[i], 1.0), (other, -1.0)) for j in side]
+        self.pair, self.term, self.sign = (np.array([x[n] for x in sides], t) for n, t in ((0, int), (1, int), (2, float)))
+
+    def odds(self, w: np.ndarray, bias: float) -> np.ndarray:
+        return bias + np.bincount(self.row, w[self.col], self.size)
+
+    def loss(self, w: np.ndarray, bias: float, label: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, float]:
+        """Weighted log loss, ridge, and the mean square of what swapping identity terms does to a score; its gradients by weights and bias."""
+        cfg, z, norm = self.cfg, np.clip(self.odds(w, bias), -30, 30), max(1.0, label.sum())
+        gap = np.bincount(self.pair, self.sign * w[self.term], self.pairs)
+        told = (weight * (np.log1p(np.exp(z)) - label * z)).sum() / norm + cfg.ridge / 2 * w @ w + cfg.counterfactual * gap @ gap / self.pairs
+        g = weight * (1 / (1 + np.exp(-z)) - label) / norm
+        by_gap = np.bincount(self.term, self.sign * gap[self.pair], self.width) if len(self.term) else 0.0
+        return told, np.bincount(self.col, g[self.row], self.width) + cfg.ridge * w + 2 * cfg.counterfactual / self.pairs * by_gap, g.sum()
+
+
 def fit(rows: list[tuple[int, bytes]], cfg: Toxic = Toxic()) -> Scorer:
     """Fit on (label, text) rows; without both labels every text gets the smoothed share of label 1."""
     toxic = sum(y for y, _ in rows)
@@ -141,26 +196,21 @@ def fit(rows: list[tuple[int, bytes]], cfg: Toxic = Toxic()) -> Scorer:
     of = lambda w: cache.get(w) or cache.setdefault(w, features(w, cfg))
     weights = _suspects([(y, {f for s in ss for w in s for f in of(w)}) for y, ss in docs], cfg)
     chosen = {f: i for i, f in enumerate([*weights, *(w for w in _KIND if w not in weights)])}
+    hits = lambda words: sorted({chosen[f] for w in set(words) for f in of(w) if f in chosen})
     cells, truth, owner, twins = [], [], [], []
     for d, (y, ss) in enumerate(docs):
         for s in ss:
-            hit = sorted({chosen[f] for w in set(s) for f in of(w) if f in chosen})
             other = swapped(s)
             if other:
-                twins.append((len(cells), sorted({chosen[f] for w in set(other) for f in of(w) if f in chosen})))
-            cells.append(hit)
+                twins.append((len(cells), hits(other)))
+            cells.append(hits(s))
             truth.append(y)
             owner.append(d)
-    truth, owner = np.array(truth), np.array(owner)
-    row = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
-    col = np.array([j for c in cells for j in c], int)
-    w = np.array([0.5 * weights.get(f, 0.0) for f in chosen])
-    term = np.array([f in _KIND for f in chosen])
-    w[term] = 0.0
+    truth, owner, rest = np.array(truth), np.array(owner), Sentences(cells, twins, len(chosen), cfg)
+    w = np.array([0.0 if f in _KIND else 0.5 * weights.get(f, 0.0) for f in chosen])
     bias = -2.0
-    score = lambda: bias + np.bincount(row, w[col], len(cells))
     for _ in range(cfg.rounds):
-        z = score()
+        z = rest.odds(w, bias)
         # The most toxic sentence of each toxic document is toxic, and so are its others with positive odds.
         top = np.full(len(docs), -np.inf)
         np.maximum.at(top, owner, z)
@@ -169,19 +219,11 @@ def fit(rows: list[tuple[int, bytes]], cfg: Toxic = Toxic()) -> Scorer:
         weight = np.where(label == 1, 1.0, label.sum() * 3 / max(1, (use & (label == 0)).sum())) * use
         grad2, grad2b = np.full(len(w), 1e-8), 1e-8
         for _ in range(cfg.steps):
-            p = 1 / (1 + np.exp(-np.clip(score(), -30, 30)))
-            g = weight * (p - label) / max(1.0, label.sum())
-            gw = np.bincount(col, g[row], len(w)) + cfg.ridge * w
-            for i, other in twins:
-                gap = w[cells[i]].sum() - w[other].sum()
-                gw[cells[i]] += 2 * cfg.counterfactual * gap / len(twins)
-                gw[other] -= 2 * cfg.counterfactual * gap / len(twins)
-            # Terms that no sentence pairs are held at what pairing any two of a kind would give: one value, here none.
-            gw[term] += cfg.counterfactual * w[term]
-            grad2, grad2b = grad2 + gw**2, grad2b + g.sum() ** 2
+            _, gw, gb = rest.loss(w, bias, label, weight)
+            grad2, grad2b = grad2 + gw**2, grad2b + gb**2
             w -= 0.3 * gw / np.sqrt(grad2)
-            bias -= 0.3 * g.sum() / np.sqrt(grad2b)
-    z, ends = score(), np.cumsum(np.bincount(owner, minlength=len(docs)))
+            bias -= 0.3 * gb / np.sqrt(grad2b)
+    z, ends = rest.odds(w, bias), np.cumsum(np.bincount(owner, minlength=len(docs)))
     facts = np.array([_evidence(part, bias) for part in np.split(z, ends[:-1])])
     mix = _calibrated(facts, np.array([y for y, _ in docs], float))
     return Scorer({f: float(w[i]) for f, i in chosen.items() if abs(w[i]) > 1e-3}, float(bias), mix, cfg)
@@ -198,17 +240,15 @@ def _calibrated(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
     return a
 
 
-def _training(docs: DataFrame, labels: DataFrame, learn, cfg: Toxic) -> list[tuple[int, bytes]]:
-    """Up to ``per_class`` labelled texts of each class, those whose ids have the least seeded hash."""
+def _training(docs: DataFrame, labels: DataFrame, learn, cfg: Toxic) -> DataFrame:
+    """(doc_id, label, text) of up to ``per_class`` labelled documents of each class, those whose ids have the least seeded hash."""
     chosen = {}
     for k in (0, 1):
         some = labels.where(learn).where((F.col("label") == k) & F.col("doc_id").isNotNull()).select("doc_id")
         chosen.update(dict.fromkeys(least_hashed(some, "doc_id", cfg.seed, cfg.per_class), k))
-    if not chosen:
-        return []
-    ids = labels.sparkSession.createDataFrame([(i, k) for i, k in chosen.items()], "doc_id long, label int")
-    rows = docs.select("doc_id", "text").where(learn).join(F.broadcast(ids), "doc_id").select("label", "doc_id", F.col("text").cast("binary").alias("text")).where("text is not null").collect()
-    return [(r[0], bytes(r[2])) for r in sorted(rows, key=lambda r: (r[1], bytes(r[2])))]
+    ids = labels.sparkSession.createDataFrame(list(chosen.items()), "doc_id long, label int")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).where(learn).where("text is not null").join(F.broadcast(ids), "doc_id")
+    return rows.select("doc_id", "label", "text").distinct()
 
 
 def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
@@ -216,7 +256,7 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, 1):
             score = np.array([shared.value.text(x) for x in texts_of(batch.column(1))])
             yield fields(doc_id=batch.column(0), score=pa.array(score, pa.float64()), predicted=pa.array((score >= 0.5).astype(np.int32)))
 
@@ -224,9 +264,14 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 
 def classified(docs: DataFrame, labels: DataFrame, learn, cfg: Toxic = Toxic()) -> DataFrame:
-    """Fit on ``labels(doc_id, label)`` of the rows that ``learn``, a condition on doc_id, lets through, and score all of ``docs``."""
-    task = docs.sparkSession.sparkContext.broadcast(_training(docs, labels, learn, cfg))
-    return scored(docs, on_one_worker(docs.sparkSession, lambda: fit(task.value, cfg)))
+    """Fit on ``labels(doc_id, label)`` of the rows that ``learn``, a condition on doc_id, lets through, and score all of ``docs``.
+
+    Labels of null ids, null labels and labels of null or missing texts teach
+    nothing; a document labelled both ways counts as toxic; rows that repeat an
+    id and text teach once. Without labels, or with those of one class, every
+    text gets the smoothed share of label 1. Empty ``docs`` give no rows.
+    """
+    return scored(docs, fitted_from(_training(docs, labels, learn, cfg), lambda rows: fit([(y, bytes(x)) for _, y, x in rows], cfg)))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
