@@ -5,36 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, table
+from .common import WORD, materialize, table
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 SEED = "mix-1"
-#: Rows in which one source's targets meet one key of the join: a source of any size is dealt to as many tasks.
+#: Sources whose targets are broadcast at most (about 100 bytes each); more are joined by merge, each source's rows dealt to ``SALTS`` tasks.
+FEW_SOURCES = 50_000
 SALTS = 256
 
 
+def _ranked(sizes: DataFrame) -> DataFrame:
+    """Add ``rank``, a source's place by code point from 0 on, null last: places within ranges of sources, and the ranges' sizes before."""
+    parts = materialize(sizes.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "sources")
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    before = parts.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    own = Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())
+    return parts.withColumn("place", F.row_number().over(own) - 1).join(before, "part").withColumn("rank", F.col("place") + F.col("before")).drop("part", "place", "before")
+
+
 def targets(sizes: DataFrame, total_share: float = 1.0, weights=WEIGHTS, most_epochs: int = MOST_EPOCHS) -> DataFrame:
     """Water-filling over ``sizes(source, source_size)``, one row a source.
 
     Sources by code point, null last, weigh ``weights``, repeating. Shares
     proportional to weight are clamped at ``most_epochs`` times the source, and
-    the excess goes to the others by weight until none is above: clamping in
-    order of cap per weight reaches that point in one pass, at the first source
-    whose own cap holds the level of those still open. Windows here run over
-    one row a source, not over documents.
+    the excess goes to the others by weight, again and again until none is
+    above. A round is one aggregate; there are as many as clampings follow from
+    each other, seldom more than ten. An empty table gives no rows.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    w = F.element_at(F.array(*[F.lit(x) for x in weights]), ((F.row_number().over(by_name) - 1) % len(weights)) + 1)
-    s = sizes.withColumn("w", w).withColumn("cap", F.col("source_size") * most_epochs)
-    order = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
-    past, rest, every = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing), Window.partitionBy(F.lit(1))
-    s = s.withColumns({"j": F.row_number().over(order), "total": F.sum("source_size").over(every) * F.lit(float(total_share)), "level": F.lit(0.0)})
-    s = s.withColumn("level", (F.col("total") - F.coalesce(F.sum("cap").over(past), F.lit(0))) / F.sum("w").over(rest))
-    s = s.withColumn("open", F.min(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("j"))).over(every))
-    s = s.withColumn("height", F.max(F.when(F.col("j") == F.col("open"), F.col("level"))).over(every))
-    target = F.when(F.coalesce(F.col("j") < F.col("open"), F.lit(True)), F.col("cap").cast("double")).otherwise(F.col("height") * F.col("w"))
-    return s.select("source", "source_size", target.alias("target"))
+    w = F.element_at(F.array(*[F.lit(x) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    s = materialize(_ranked(sizes).select("source", "source_size", w.alias("w"), (F.col("source_size") * most_epochs).alias("cap")), "weights")
+    height, full = 0.0, F.lit(False)
+    total, clamped = s.agg(F.sum("source_size")).first()[0], -1
+    while total is not None:
+        here = s.agg(F.count_if(full).alias("n"), F.sum(F.when(full, F.col("cap"))).alias("caps"), F.sum(F.when(~full, F.col("w"))).alias("open")).first()
+        if here.n == clamped or not here.open:
+            break
+        clamped, height = here.n, (total * float(total_share) - (here.caps or 0)) / here.open
+        full = full | (F.col("cap") / F.col("w") < F.lit(height))
+    return s.select("source", "source_size", F.when(full, F.col("cap").cast("double")).otherwise(F.lit(height) * F.col("w")).alias("target"))
 
 
 def mix(docs: DataFrame, total_share: float = 1.0, weights=WEIGHTS, most_epochs: int = MOST_EPOCHS, seed: str = SEED) -> DataFrame:
@@ -45,24 +54,30 @@ def mix(docs: DataFrame, total_share: float = 1.0, weights=WEIGHTS, most_epochs:
     summed by source and hash bucket (4096 a source), buckets are taken whole
     while that brings the sum nearer to the target, so reruns agree and no task
     holds a source. A null text has size 0; a null source is one source; rows
-    with equal ids, null ones too, share one fate. ``docs``' columns of these names are replaced.
+    with equal ids, null ones too, share one fate. ``docs``' columns of these
+    names are replaced, all others kept whatever their names. An empty table
+    gives no rows.
     """
+    made = ("size", "source_size", "target", "repetitions", "taken")
     code = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    docs = docs.drop("size", "source_size", "target", "repetitions", "taken")
-    d = docs.withColumns({"size": F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long"), "_bucket": F.conv(F.substring(code, 1, 3), 16, 10).cast("int")})
-    buckets = d.groupBy("source", "_bucket").agg(F.sum("size").alias("s"))
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
+    d = docs.select(F.struct(*others).alias("row"), F.col("source").alias("own"), size.alias("size"), F.conv(F.substring(code, 1, 3), 16, 10).cast("int").alias("bucket"), F.conv(F.substring(code, 4, 2), 16, 10).cast("int").alias("salt"))
+    buckets = materialize(d.groupBy(F.col("own").alias("source"), "bucket").agg(F.sum("size").alias("s")), "buckets")
     goal = targets(buckets.groupBy("source").agg(F.sum("s").alias("source_size")), total_share, weights, most_epochs)
     goal = goal.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
-    goal = goal.withColumn("more", F.col("target") - F.col("whole") * F.col("source_size"))
-    before = F.coalesce(F.sum("s").over(Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = buckets.withColumn("before", before).join(goal.withColumnRenamed("source", "_g"), F.col("source").eqNullSafe(F.col("_g")))
-    cut = cut.groupBy("source").agg(F.max(F.when(F.col("before") * 2 + F.col("s") <= F.col("more") * 2, F.col("_bucket"))).alias("last"))
-    goal = goal.join(cut.withColumnRenamed("source", "_c"), F.col("source").eqNullSafe(F.col("_c")), "left").drop("_c", "more")
-    goal = goal.withColumnRenamed("source", "_source").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.conv(F.substring(code, 4, 2), 16, 10).cast("int")
-    out = d.withColumn("_s", salt).join(goal, (F.col("_s") == F.col("_salt")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-    reps = F.col("whole") + F.coalesce((F.col("_bucket") <= F.col("last")) & (F.col("whole") < most_epochs), F.lit(False)).cast("long")
-    return out.withColumns({"repetitions": reps, "taken": reps * F.col("size")}).drop("_bucket", "_s", "_salt", "_source", "whole", "last")
+    before = F.coalesce(F.sum("s").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = buckets.withColumn("before", before).join(goal.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+    more = F.col("target") - F.col("whole") * F.col("source_size")
+    last = F.max(F.when(F.col("before") * 2 + F.col("s") <= more * 2, F.col("bucket")))
+    goal = materialize(cut.groupBy("source", "source_size", "target", "whole").agg(last.alias("last")), "targets")
+    if goal.count() <= FEW_SOURCES:
+        out = d.join(F.broadcast(goal), F.col("own").eqNullSafe(F.col("source")))
+    else:
+        salted = goal.withColumn("salted", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        out = d.join(salted.hint("merge"), (F.col("salt") == F.col("salted")) & F.col("own").eqNullSafe(F.col("source")))
+    reps = F.col("whole") + F.coalesce((F.col("bucket") <= F.col("last")) & (F.col("whole") < most_epochs), F.lit(False)).cast("long")
+    return out.select("row.*", "size", "source_size", "target", reps.alias("repetitions"), (reps * F.col("size")).alias("taken"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
