@@ -91,3 +91,22 @@ def test_mix_is_near_its_targets_and_repeats(spark):
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(docs).count() == 0 and quality_rules.judged(docs).count() == 0
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["whole", "last", "row", "own", "salt", "salted", "bucket", "part", "rank", "of", "s", "w", "cap", "a b", "repetitions"]
+    rows = [(i, "a b c", "s" if i % 2 else None, *([i] * len(names))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` long" for n in names))
+    out = mixing.mix(df)
+    assert out.columns == ["doc_id", "text", "source", *names[:-1], "size", "source_size", "target", "repetitions", "taken"]
+    assert out.where(" and ".join(f"`{n}` = doc_id" for n in names[:-1])).count() == 20
+    assert mixing.mix(df.where("false")).count() == 0
+
+
+def test_mix_of_many_sources_takes_the_other_join(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "w " * (i % 13), f"s{i % 90}") for i in range(600)], "doc_id long, text string, source string")
+    want = sorted(map(tuple, mixing.mix(df).collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 5)
+    assert sorted(map(tuple, mixing.mix(df).collect())) == want
+    ranks = {r.source: r.rank for r in mixing._ranked(df.groupBy("source").count()).collect()}
+    assert ranks == {k: i for i, k in enumerate(sorted(ranks))}

@@ -1,4 +1,8 @@
+import gzip
+import json
 import random
+import time
+import zlib
 
 import numpy as np
 import pytest
@@ -29,14 +33,56 @@ def test_derivatives_refer_to_their_source():
     assert meta.get("WARC-Refers-To") == text.get("WARC-Refers-To") == source.get("WARC-Record-ID")
     assert meta.get("WARC-Concurrent-To") == text.get("WARC-Record-ID") and text.get("WARC-Target-URI") == "http://x/"
     assert text.block.decode() == "T\nHello & you\nA" and text.get("WARC-Block-Digest") == warc.digest(text.block)
-    import json
-
     held = json.loads(meta.block)
     assert held["source-headers"] == [list(h) for h in source.headers] and held["payload-digest"] == held["actual-digest"] == source.get("WARC-Payload-Digest")
     assert held["outline"]["title"] == "T" and held["outline"]["links"] == [{"url": "/a", "text": "A"}]
     assert warc.derivatives(warc.Record([("WARC-Type", "request")])) == []
 
 
+def _conversion(body, *headers):
+    meta, text = warc.derivatives(warc.response_of("http://x/", body, "1", headers=[("Content-Type", "text/html"), *headers]) if isinstance(body, str) else _raw(body, headers))
+    return text.block.decode(), json.loads(meta.block)["faults"]
+
+
+def _raw(body, headers):
+    block = b"HTTP/1.1 200 OK\r\n" + "".join(f"{k}: {v}\r\n" for k, v in headers).encode() + b"\r\n" + body
+    return warc.Record([("WARC-Type", "response"), ("WARC-Record-ID", "<a>")], block)
+
+
+def test_encoded_bodies_are_decoded():
+    page = b"<p>hello you</p>" * 500
+    chunked = b"".join(b"%x;a=b\r\n%s\r\n" % (len(page[i : i + 700]), page[i : i + 700]) for i in range(0, len(page), 700)) + b"0\r\n\r\n"
+    zipped, flat = gzip.compress(page), zlib.compress(page)[2:-4]
+    want = "\n".join(["hello you"] * 500)
+    te, ce = "Transfer-Encoding", "Content-Encoding"
+    assert _conversion(chunked, (te, "chunked")) == (want, [])
+    assert _conversion(zipped, (ce, "gzip")) == _conversion(zlib.compress(page), (ce, "deflate")) == _conversion(flat, (ce, "deflate")) == (want, [])
+    assert _conversion(b"%x\r\n%s\r\n0\r\n\r\n" % (len(zipped), zipped), (te, "chunked"), (ce, "gzip")) == (want, [])
+    assert _conversion(page, (te, "chunked")) == (want, ["no chunks"]) and _conversion(page, (ce, "gzip")) == (want, ["not gzip"])
+    assert _conversion(page, (ce, "br"))[1] == ["unread encoding br"] and _conversion(b"", (ce, "gzip")) == ("", [])
+    text, faults = _conversion(gzip.compress(random.Random(1).randbytes(20000).hex().encode())[:9000], (ce, "gzip"))
+    assert len(text) > 1000 and faults == ["truncated gzip"]
+    text, faults = _conversion(chunked[:1000], (te, "chunked"))
+    assert text.startswith("hello you") and faults == ["truncated chunk"]
+
+
+def test_repeated_headers_are_kept(spark):
+    record = warc.Record([("WARC-Type", "response"), ("WARC-Record-ID", "<a>"), ("X", "1"), ("X", "2")], b"HTTP/1.1 200 OK\r\n\r\nhi")
+    sources = spark.createDataFrame([(1, bytearray(warc.written([record])))], "page_id long, warc binary")
+    for r in warc.derived(sources).collect():
+        assert [tuple(h) for h in r.source_headers if h.name == "X"] == [("X", "1"), ("X", "2")]
+
+
+@pytest.mark.parametrize("page", ["<script>", "<a href='x'>", "<a href=x", "<title>", "<", "<!--", "a" * 9, "<meta name", "</a>", "<script"])
+def test_a_megabyte_of_anything_takes_linear_time(page):
+    began = time.perf_counter()
+    source = page * (1_000_000 // len(page))
+    for text in (source, source + ">"):
+        warc.plain_text(text)
+        warc.outline(text)
+    assert time.perf_counter() - began < 8
+
+
 def test_warc_edges(spark):
     pages = spark.createDataFrame([(1, "http://a/", "<p>x</p>", "q"), (1, "http://a/", "<p>x</p>", "q"), (2, None, None, "q"), (None, "u\r\nX: 1", "", "q"), (4, "http://b/", "<p>" + "long " * 50000, "q")], "page_id long, url string, html string, warc string")
     out = warc.derived(warc.responses(pages)).toPandas()

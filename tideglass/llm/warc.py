@@ -6,10 +6,10 @@ import base64
 import gzip
 import hashlib
 import html
-import io
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -58,9 +58,24 @@ def written(records, compress: bool = True) -> bytes:
 
 
 def parsed(data: bytes) -> Iterator[Record]:
-    """The records of a WARC file, compressed or not. A truncated or garbled end gives a record with faults, never an error."""
-    if data[:2] == b"\x1f\x8b":
-        data = _unzipped(data)
+    """The records of a WARC file, compressed or not. A truncated or garbled end gives a record with faults, never an error.
+
+    Of a compressed file one gzip member is held unzipped at a time, or those
+    that one record spans.
+    """
+    if data[:2] != b"\x1f\x8b":
+        yield from _records(data)
+        return
+    held = b""
+    for member in _members(data):
+        if held and member.startswith(b"WARC/"):
+            yield from _records(held)
+            held = b""
+        held += member
+    yield from _records(held)
+
+
+def _records(data: bytes) -> Iterator[Record]:
     at = 0
     while at < len(data):
         start = data.find(b"WARC/", at)
@@ -96,14 +111,19 @@ def parsed(data: bytes) -> Iterator[Record]:
         yield rec
 
 
-def _unzipped(data: bytes) -> bytes:
-    out, stream = io.BytesIO(), gzip.GzipFile(fileobj=io.BytesIO(data))
-    try:
-        while part := stream.read(1 << 16):
-            out.write(part)
-    except (EOFError, OSError):
-        pass
-    return out.getvalue()
+def _members(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """Each gzip member unzipped; of a broken one what could be read."""
+    at = 0
+    while at < len(data):
+        unzip, out = zlib.decompressobj(31), []
+        try:
+            while at < len(data) and not unzip.eof:
+                part = data[at : at + step]
+                out.append(unzip.decompress(part))
+                at += len(part) - len(unzip.unused_data)
+        except zlib.error:
+            at = len(data)
+        yield b"".join(out)
 
 
 def http_parts(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
@@ -115,32 +135,116 @@ def http_parts(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return status, [(k.strip(), v.strip()) for k, v in (x.split(":", 1) for x in lines if ":" in x)], body
 
 
-_HIDDEN = re.compile(r"<(script|style|noscript|template|head)\b[^>]*>.*?</\1\s*>|<!--.*?-->", re.I | re.S)
+def unchunked(body: bytes) -> tuple[bytes, list[str]]:
+    """A body out of its chunks, and what was wrong with them; a body that holds no chunk at all is left as it is."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size):
+            return (b"".join(out), ["broken chunk"]) if out else (body, ["no chunks"])
+        n = int(size, 16)
+        if not n:
+            return b"".join(out), []
+        out.append(body[end + 2 : end + 2 + n])
+        if len(out[-1]) < n:
+            return b"".join(out), ["truncated chunk"]
+        at = end + 2 + n + 2
+
+
+def decoded(headers: list[tuple[str, str]], body: bytes) -> tuple[bytes, list[str]]:
+    """The body without its transfer and content encodings, outermost first, and what was wrong; an unknown or wrong encoding leaves it as it is."""
+    told = lambda name: [x.strip().lower() for k, v in headers if k.lower() == name for x in v.split(",")]
+    faults = []
+    for encoding in [*reversed(told("transfer-encoding")), *reversed(told("content-encoding"))]:
+        if encoding == "chunked":
+            body, wrong = unchunked(body)
+            faults += wrong
+        elif encoding in ("gzip", "x-gzip", "deflate"):
+            out, rest = [], body
+            for bits in (47, -15):
+                unzip = zlib.decompressobj(bits)
+                try:
+                    # In steps, so that what comes before a fault is kept.
+                    for at in range(0, len(rest), 4096):
+                        out.append(unzip.decompress(rest[at : at + 4096]))
+                    out.append(unzip.flush())
+                except zlib.error:
+                    if not any(out):
+                        continue
+                break
+            if any(out) or not body:
+                body = b"".join(out)
+                faults += [] if unzip.eof or not rest else [f"truncated {encoding}"]
+            else:
+                faults.append(f"not {encoding}")
+        elif encoding not in ("", "identity"):
+            faults.append(f"unread encoding {encoding}")
+    return body, faults
+
+
+_OPEN = re.compile(r"<(?:(script|style|noscript|template|head)\b[^>]*>|!--)", re.I)
+_CLOSE = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "noscript", "template", "head", "title")} | {None: re.compile("-->")}
 _BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|title|blockquote|pre|hr|main|aside)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[^>]*>")
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>", re.I | re.S)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
+_LINK = re.compile(r"<a\b([^>]*)>|</a\s*>", re.I)
+_TITLE = re.compile(r"<title\b[^>]*>", re.I)
 _META = re.compile(r"<meta\b([^>]*)>", re.I)
-_ATTR = re.compile(r"([\w:-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+_ATTR = re.compile(r"(?<![\w:-])([\w:-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+
+
+def _parted(source: str) -> tuple[str, str]:
+    """What may hold whole tags, and the rest behind the last >: without it each < there would be read to the end."""
+    at = source.rfind(">") + 1
+    return source[:at], source[at:]
+
+
+def _shown(source: str) -> str:
+    """HTML without what is never shown, a line break for each; elements without an end stay. Each end is looked for once from any place."""
+    out, at, ends = [], 0, {}
+    for m in _OPEN.finditer(source):
+        if m.start() < at:
+            continue
+        kind = m[1] and m[1].lower()
+        if ends.get(kind, 0) is not None and (ends.get(kind) is None or ends[kind].start() < m.end()):
+            ends[kind] = _CLOSE[kind].search(source, m.end())
+        end = ends[kind]
+        if end is not None:
+            out += [source[at : m.start()], "\n"]
+            at = end.end()
+    return "".join([*out, source[at:]])
 
 
 def plain_text(source: str) -> str:
     """Visible text of HTML: a line a block, blanks folded, entities resolved."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub("\n", source)))
+    tags, rest = _parted(source)
+    text = _TAG.sub("", _BREAK.sub("\n", _shown(tags))) + rest
     lines = (" ".join(html.unescape(x).split()) for x in text.split("\n"))
     return "\n".join(x for x in lines if x)
 
 
+def _attributes(inside: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for k, v in _ATTR.findall(inside):
+        out.setdefault(k.lower(), html.unescape(v.strip("\"'")))
+    return out
+
+
 def outline(source: str) -> dict:
     """Title, metas and links of HTML."""
-    title = _TITLE.search(source)
-    metas = []
-    for m in _META.finditer(source):
-        at = {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(m[1])}
-        if at:
-            metas.append(at)
-    links = [{"url": html.unescape(m[1].strip("\"'")), "text": plain_text(m[2]).replace("\n", " ")} for m in _LINK.finditer(source)]
-    return {"title": plain_text(title[1]) if title else None, "metas": metas, "links": links}
+    tags, _ = _parted(source)
+    title, head, links, opened = _TITLE.search(tags), None, [], None
+    if title and (end := _CLOSE["title"].search(tags, title.end())):
+        head = plain_text(tags[title.end() : end.start()])
+    for m in _LINK.finditer(tags):
+        if m[1] is None:
+            if opened:
+                links.append({"url": opened[0], "text": plain_text(tags[opened[1] : m.start()]).replace("\n", " ")})
+            opened = None
+        elif opened is None and "href" in (at := _attributes(m[1])):
+            opened = at["href"], m.end()
+    metas = [at for m in _META.finditer(tags) if (at := _attributes(m[1]))]
+    return {"title": head, "metas": metas, "links": links}
 
 
 def response_of(url: str | None, source: str | None, key: str, date: str = DATE, headers: list[tuple[str, str]] | None = None) -> Record:
@@ -165,17 +269,18 @@ def derivatives(response: Record) -> list[Record]:
         return []
     source_id, uri, date = response.get("WARC-Record-ID") or "", response.get("WARC-Target-URI") or "", response.get("WARC-Date") or DATE
     status, headers, body = http_parts(response.block)
+    whole, faults = decoded(headers, body)
     charset = next((m[1] for k, v in headers if k.lower() == "content-type" and (m := re.search(r"charset=\"?([\w-]+)", v))), "utf-8")
     try:
-        page = body.decode(charset, "replace")
+        page = whole.decode(charset, "replace")
     except LookupError:
-        page = body.decode("utf-8", "replace")
+        page = whole.decode("utf-8", "replace")
     text = plain_text(page).encode("utf-8", "replace")
     text_id, meta_id = record_id("conversion", source_id), record_id("metadata", source_id)
     envelope = {
         "source-headers": response.headers, "http-status": status, "http-headers": headers, "payload-length": len(body),
         "payload-digest": response.get("WARC-Payload-Digest") or digest(body), "actual-digest": digest(body),
-        "conversion-id": text_id, "faults": response.faults, "outline": outline(page),
+        "conversion-id": text_id, "faults": response.faults + faults, "outline": outline(page),
     }
     meta = json.dumps(envelope, ensure_ascii=False, sort_keys=True).encode("utf-8", "replace")
     common = [("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Refers-To", source_id)]
@@ -197,7 +302,7 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "page_id long, warc binary")
 
 
-_COLUMNS = "page_id long, record_type string, record_id string, refers_to string, concurrent_to string, target_uri string, warc_date string, content_type string, content_length long, block_digest string, source_payload_digest string, source_headers map<string,string>, block string, warc binary"
+_COLUMNS = "page_id long, record_type string, record_id string, refers_to string, concurrent_to string, target_uri string, warc_date string, content_type string, content_length long, block_digest string, source_payload_digest string, source_headers array<struct<name:string,value:string>>, block string, warc binary"
 
 
 def derived(sources: DataFrame) -> DataFrame:
@@ -205,8 +310,11 @@ def derived(sources: DataFrame) -> DataFrame:
 
     Each row has the record's fields and its own compressed record. Null and
     empty sources, and records of other types, give no rows; a truncated one is
-    converted as far as it goes, with its fault in the metadata. Rows that repeat
-    give equal records.
+    converted as far as it goes, with its fault in the metadata. Chunked, gzip
+    and deflate bodies are decoded for the conversion; digests are those of the
+    body as sent. Repeated header names are kept in their order. Rows that
+    repeat give equal records, an empty table none, and other columns of
+    ``sources``, whatever their names, play no part.
     """
 
     def run(batches):
@@ -217,8 +325,8 @@ def derived(sources: DataFrame) -> DataFrame:
                 for source in parsed(data or b""):
                     for r in derivatives(source):
                         payload = source.get("WARC-Payload-Digest")
-                        rows.append((key, r.get("WARC-Type"), r.get("WARC-Record-ID"), r.get("WARC-Refers-To"), r.get("WARC-Concurrent-To"), r.get("WARC-Target-URI"), r.get("WARC-Date"), r.get("Content-Type"), len(r.block), r.get("WARC-Block-Digest"), payload, list(dict(source.headers).items()), r.block.decode("utf-8", "replace"), written([r])))
-            kinds = [pa.int64(), *[pa.string()] * 7, pa.int64(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.binary()]
+                        rows.append((key, r.get("WARC-Type"), r.get("WARC-Record-ID"), r.get("WARC-Refers-To"), r.get("WARC-Concurrent-To"), r.get("WARC-Target-URI"), r.get("WARC-Date"), r.get("Content-Type"), len(r.block), r.get("WARC-Block-Digest"), payload, [{"name": k, "value": v} for k, v in source.headers], r.block.decode("utf-8", "replace"), written([r])))
+            kinds = [pa.int64(), *[pa.string()] * 7, pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())])), pa.string(), pa.binary()]
             cols = list(zip(*rows, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
