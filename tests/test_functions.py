@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tideglass.functions import address, names, numbers, pages, phone, text, urls
+from tideglass.functions import address, names, numbers, page_types, pages, phone, text, urls
 
 
 def values(spark, rows, make):
@@ -107,16 +107,16 @@ def test_page_candidates():
 
 
 def test_page_type_and_links():
-    assert pages.page_type("https://x.jp/company", None, PAGE)[0] == "COMPANY_PROFILE"
-    assert pages.page_type("https://x.jp/contact", "", "<h1>Contact</h1>")[0] == "ACCESS_CONTACT"
-    assert pages.page_type("https://x.jp/", "hello", "<p>hello</p>")[0] == "OTHER"
+    assert page_types.page_type("https://x.jp/company", None, PAGE)[0] == "COMPANY_PROFILE"
+    assert page_types.page_type("https://x.jp/contact", "", "<h1>Contact</h1>")[0] == "ACCESS_CONTACT"
+    assert page_types.page_type("https://x.jp/", "hello", "<p>hello</p>")[0] == "OTHER"
     assert pages.ranked_links("https://x.jp/", PAGE)[0][0] in ("https://x.jp/company/profile", "https://x.jp/about")
 
 
 @pytest.mark.parametrize("source", [None, "", "<", "<p", "<table><tr><td>", "&#xFFFFFFFF;", "<script type='application/ld+json'>{", "<!-- x"])
 def test_broken_markup_never_fails(source):
     pages.candidates(None, source)
-    pages.page_type(None, None, source)
+    page_types.page_type(None, None, source)
     pages.ranked_links(None, source)
 
 
@@ -126,3 +126,40 @@ def test_first_json(spark):
 
 def test_mojibake(spark):
     assert values(spark, ["日本語", "Ã©Ã¨Ã", "a�", None], text.mojibake) == [False, True, True, False]
+
+
+OFFICES = "<li>東営業所 〒100-0001 東京都千代田区1</li><li>西営業所 〒530-0001 大阪府大阪市2</li><li>中営業所 〒450-0002 愛知県名古屋市3</li>"
+FACTS = "<table><tr><th>本社所在地</th><td>〒100-0001 東京都千代田区1</td></tr><tr><th>TEL</th><td>03-1234-5678</td></tr><tr><th>代表取締役</th><td>山田 太郎</td></tr><tr><th>事業内容</th><td>製造</td></tr></table>"
+
+
+@pytest.mark.parametrize("url, source, kind, reason", [
+    ("https://x.jp/a/outline.html", f"<title>会社概要</title><h1>会社概要</h1>{FACTS}", "COMPANY_PROFILE", "facts_in_table"),
+    ("https://x.jp/bases", f"<title>拠点一覧</title><h1>拠点一覧</h1><ul>{OFFICES}</ul>", "BASES_LIST", "offices"),
+    ("https://x.jp/company/bases", f"<h1>拠点一覧</h1>{FACTS}<ul>{OFFICES}</ul>", "COMPANY_PROFILE", "offices_beside_profile"),
+    ("https://x.jp/offices", f"<h1>営業所一覧</h1><table><tr><th>代表者</th><td>山田</td></tr><tr><th>住所</th><td>本店</td></tr><tr><th>設立</th><td>1990</td></tr></table>{OFFICES}", "COMPANY_PROFILE", "offices_beside_person"),
+    ("https://x.jp/p1", "<p>代表取締役 山田</p><p>本社 〒100-0001</p>", "COMPANY_PROFILE", "person_and_contact"),
+    ("https://x.jp/kaisha", "<p>本社 あり 設立 資本金 従業員 事業内容</p>", "COMPANY_PROFILE", "path_and_facts"),
+    ("https://x.jp/p2", "<h2>団体概要</h2><p>設立 資本金 従業員</p>", "COMPANY_PROFILE", "heading_and_facts"),
+    ("https://x.jp/p3", "<h1>お問い合わせ</h1>", "ACCESS_CONTACT", "contact_heading"),
+    ("https://x.jp/p4", "<p>アクセス 電話 03-1234-5678</p>", "ACCESS_CONTACT", "contact_text"),
+    ("https://x.jp/toiawase", "<p>x</p>", "ACCESS_CONTACT", "contact_path"),
+    ("https://x.jp/p5", "<p>電話 03-1234-5678 03-1234-5679 03-1234-5670</p>", "OTHER", "default"),
+    ("https://x.jp/%E4%BC%9A%E7%A4%BE%E6%A6%82%E8%A6%81", "<dl><dt>設立</dt><dd>1</dd><dt>創業</dt><dd>2</dd><dt>資本金</dt><dd>3</dd><dt>従業員</dt><dd>4</dd></dl>", "COMPANY_PROFILE", "named_table"),
+])
+def test_page_types_by_rule(url, source, kind, reason):
+    assert page_types.page_type(url, None, source)[::2] == (kind, reason)
+
+
+def test_page_type_of_directories_and_lists():
+    assert page_types.page_type("https://x.jp/company", None, FACTS, 12) == ("DIRECTORY_DB", 12, "directory_like")
+    assert all(any(s in r.all + r.any + r.none for r in page_types.RULES) for s in page_types.signals("", "", "<table>")[0])
+    assert page_types.page_type(None, None, None) == ("OTHER", 0, "default")
+
+
+def test_candidates_of_every_place():
+    c = pages.candidates(None, """<header>本社 03-1111-1111</header><nav>電話 03-2222-2222 <span>資本金</span><span>9円</span></nav>
+      <div><span>資本金</span><span>1,000万円</span></div><div><span>設立</span><span>不明</span></div><p>電話番号</p><p>TEL 03-3333-3333 FAX 03-3333-3334</p>
+      <img alt="tel 03-4444-4444"><meta itemprop="address" content="東京都港区1"><dl><dt>売上高</dt><dd>公開せず</dd><dt>代表者</dt><dd>http://x.jp/</dd><dt>従業員数</dt><dd>20名</dd></dl>""")
+    assert c["phone"][:2] == ["[LABEL]03-3333-3333", "[LABEL][FAX]03-3333-3334"] and "[HEADER][HQ]03-1111-1111" in c["phone"] and "[ATTR]03-4444-4444" in c["phone"]
+    assert not any("2222" in x for x in c["phone"]) and c["capital"] == ["[LABEL]1,000万円"] and c["founded"] == c["revenue"] == c["rep"] == []
+    assert c["address"] == ["[ATTR]東京都港区1"] and c["employees"] == ["[TABLE]20名"]

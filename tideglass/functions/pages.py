@@ -1,4 +1,4 @@
-"""HTML pages: text, outline, links, label-value candidates, JSON-LD, page type. One Arrow crossing a page, standard library only."""
+"""HTML pages: text, links, label-value candidates, JSON-LD. One Arrow crossing a page, standard library only."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from html.parser import HTMLParser
 from urllib.parse import unquote, urljoin, urlsplit
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -26,12 +26,16 @@ class Page(HTMLParser):
 
     def __init__(self, source: str | None):
         super().__init__(convert_charrefs=True)
-        self.title, self.metas, self.links, self.headings, self.pairs, self.jsonld, self.forms = "", {}, [], [], [], [], 0
+        self.title, self.metas, self.links, self.headings, self.pairs, self.jsonld, self.forms, self.tables = "", {}, [], [], [], [], 0, 0
         self._main: list[str] = []
         self._all: list[str] = []
         self._foot: list[str] = []
         self._open: list[str] = []
         self._take: list[list] = []
+        self.attributes: list[tuple[str, str]] = []
+        self.beside: list[tuple[str, str]] = []
+        self._texts: list[str] = []
+        self._head: list[str] = []
         self._label: str | None = None
         self._ld: list[str] | None = None
         try:
@@ -42,6 +46,10 @@ class Page(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         at = {k: v or "" for k, v in attrs}
+        if not self._in_navigation():
+            for k in ("data-tel", "data-phone", "data-address", "aria-label", "alt", "content"):
+                if at.get(k) and (k != "content" or at.get("itemprop")):
+                    self.attributes.append((at.get("itemprop") or k, at[k]))
         if tag == "meta":
             name = (at.get("property") or at.get("name") or "").lower()
             if name:
@@ -50,6 +58,8 @@ class Page(HTMLParser):
             self._ld = []
         elif tag == "form":
             self.forms += 1
+        elif tag in ("table", "dl"):
+            self.tables += 1
         if tag in _BLOCK:
             for out in (self._main, self._all, self._foot):
                 out.append("\n")
@@ -90,6 +100,9 @@ class Page(HTMLParser):
                 self.pairs.append((self._label, text))
                 self._label = None
 
+    def _in_navigation(self) -> bool:
+        return "nav" in self._open or "aside" in self._open
+
     def handle_data(self, data):
         if self._ld is not None:
             self._ld.append(data)
@@ -97,6 +110,13 @@ class Page(HTMLParser):
             return
         for take in self._take:
             take[2].append(data)
+        if "header" in self._open and not self._in_navigation():
+            self._head.append(data)
+        if (piece := " ".join(data.split())) and not self._in_navigation() and not any(t[0] in ("td", "dd", "th", "dt", "a", "title") for t in self._take):
+            # A short piece of text that names a field, and the piece after it: a label and its value without a table.
+            if self._texts and field_of(self._texts[-1]) and not field_of(piece):
+                self.beside.append((self._texts[-1], piece))
+            self._texts.append(piece)
         self._all.append(data)
         (self._foot if "footer" in self._open else self._main).append(data if not any(t in _FURNITURE for t in self._open) or "footer" in self._open else "")
 
@@ -115,6 +135,9 @@ class Page(HTMLParser):
     def footer(self) -> str:
         return self._lines(self._foot)
 
+    def header(self) -> str:
+        return " ".join("".join(self._head).split())
+
     def objects(self) -> list[dict]:
         """JSON-LD objects, graphs opened; what doesn't parse is left out."""
         out, todo = [], []
@@ -140,8 +163,8 @@ LABELS = {
     "employees": ("従業員", "従業員数", "社員数"), "fiscal_month": ("決算月", "決算期", "決算"), "founded": ("設立", "創業", "創立", "設立年月日"), "listing": ("上場", "上場区分", "証券コード"),
 }
 FIELDS = tuple(LABELS)
-_PHONE = re.compile(r"(?<![0-9])0[0-9]{1,4}[-(‐―－ー ]?[0-9]{1,4}[-)‐―－ー ]?[0-9]{3,4}(?![0-9])")
-_ADDRESS = re.compile(r"〒?\s*[0-9]{3}-?[0-9]{4}\s*[^\n]{0,60}|(?:" + "|".join(PREFECTURES) + r")[^\n]{2,60}")
+PHONE_NUMBER = re.compile(r"(?<![0-9])0[0-9]{1,4}[-(‐―－ー ]?[0-9]{1,4}[-)‐―－ー ]?[0-9]{3,4}(?![0-9])")
+_ADDRESS = re.compile(r"(?:〒\s*|(?<![0-9-]))[0-9]{3}-?[0-9]{4}(?![0-9-])\s*[^\n]{0,60}|(?:" + "|".join(PREFECTURES) + r")[^\n]{2,60}")
 
 
 def field_of(label: str) -> str | None:
@@ -155,9 +178,39 @@ def field_of(label: str) -> str | None:
     return next((f for f, words in LABELS.items() for w in words if s.startswith(w)), None)
 
 
-def candidates(text: str | None, source: str | None) -> dict[str, list[str]]:
-    """Tagged values of each field, in order and without repeats: tables and lists, tel: links, JSON-LD, the footer, then running text."""
-    page = Page(source)
+#: What words before a number or an address say of it.
+CONTEXTS = (("HQ", "本社|本店|本部"), ("REP", "代表"), ("BRANCH", "支店|営業所|工場|センター"), ("RECRUIT", "採用|求人"), ("SUPPORT", "サポート|コールセンター"), ("FAX", "FAX|ファックス|ファクス"))
+#: What a field's value must look like; a value of another field has none of these.
+VALUES = {
+    "capital": re.compile("[0-9〇一二三四五六七八九十百千万億].*円|[0-9].*(?:万|億)|円"), "revenue": re.compile("[0-9〇一二三四五六七八九十百千万億].*円|[0-9].*(?:万|億)|円"),
+    "profit": re.compile("[0-9〇一二三四五六七八九十百千万億].*円|[0-9].*(?:万|億)|円"), "employees": re.compile("[0-9〇一二三四五六七八九十百千]"),
+    "fiscal_month": re.compile("[0-9〇一二三四五六七八九十].*月|月"), "founded": re.compile("[0-9]{4}|明治|大正|昭和|平成|令和"),
+    "rep": re.compile(r"^(?!.*(?:https?://|@|[0-9]{4})).{2,60}$"), "listing": re.compile("^.{1,60}$"), "address": re.compile("[都道府県市区町村郡]|[0-9]{3}-?[0-9]{4}"),
+}
+
+
+def _context(around: str) -> list[str]:
+    return [t for t, p in CONTEXTS if re.search(p, around, re.I)]
+
+
+def numbers_of(value: str, around: str = "") -> list[tuple[str, list[str]]]:
+    """The phone numbers in a value with the tags of what stands before each: ``TEL ... FAX ...`` gives one of either kind."""
+    value, out, last = unicodedata.normalize("NFKC", value), [], 0
+    for m in PHONE_NUMBER.finditer(value):
+        out.append((m[0], _context(around + value[max(last, m.start() - 12) : m.start()])))
+        last = m.end()
+    return out
+
+
+def candidates(text: str | None, source: str | None, page: Page | None = None) -> dict[str, list[str]]:
+    """Tagged values of each field, in order and without repeats.
+
+    Tables and lists (TABLE), labels with the text beside them (LABEL), tel:
+    links (TELHREF), JSON-LD (JSONLD), attributes (ATTR), the header and footer
+    (HEADER, FOOTER), then running text (TEXT). Navigation gives nothing. A
+    value must look like one of its field.
+    """
+    page = page or Page(source)
     out: dict[str, list[str]] = {f: [] for f in FIELDS}
 
     def add(field: str, value: str, *tags: str) -> None:
@@ -166,96 +219,59 @@ def candidates(text: str | None, source: str | None) -> dict[str, list[str]]:
         if value and item not in out[field]:
             out[field].append(item)
 
-    def context(around: str) -> list[str]:
-        rules = (("HQ", "本社|本店|本部"), ("REP", "代表"), ("BRANCH", "支店|営業所|工場|センター"), ("RECRUIT", "採用|求人"), ("SUPPORT", "サポート|コールセンター"), ("FAX", "FAX|ファックス"))
-        return [t for t, p in rules if re.search(p, around, re.I)]
-
-    for label, value in page.pairs:
+    def labelled(label: str, value: str, tag: str) -> None:
         field = field_of(label)
         if field == "phone":
-            for m in _PHONE.finditer(unicodedata.normalize("NFKC", value)):
-                before = value[max(0, m.start() - 8) : m.start()]
-                add("phone", m[0], "TABLE", *context(label + before))
-        elif field:
-            add(field, value, "TABLE", *(["HQ"] if field == "address" and re.search("本社|本店", label + value) else []))
+            for number, tags in numbers_of(value, label):
+                add("phone", number, tag, *tags)
+        elif field and (field not in VALUES or VALUES[field].search(unicodedata.normalize("NFKC", value))):
+            add(field, value, tag, *(["HQ"] if field == "address" and re.search("本社|本店", label + value) else []))
+
+    def loose(body: str, tag: str) -> None:
+        body = unicodedata.normalize("NFKC", body or "")
+        for line in body.split("\n"):
+            for number, tags in numbers_of(line):
+                add("phone", number, tag, *tags)
+        for m in _ADDRESS.finditer(body):
+            add("address", m[0], tag, *(["HQ"] if re.search("本社|本店", body[max(0, m.start() - 10) : m.start()]) else []))
+
+    for label, value in page.pairs:
+        labelled(label, value, "TABLE")
+    for label, value in page.beside:
+        labelled(label, value, "LABEL")
     for href, label, _ in page.links:
         if href.lower().startswith("tel:"):
-            add("phone", unquote(href[4:]), "TELHREF", *context(label))
+            add("phone", unquote(href[4:]), "TELHREF", *_context(label))
     for obj in page.objects():
-        if isinstance(obj.get("telephone"), str):
-            add("phone", obj["telephone"], "JSONLD")
-        place = obj.get("address")
+        place, founder = obj.get("address"), obj.get("founder")
         if isinstance(place, dict):
-            add("address", " ".join(str(place.get(k) or "") for k in ("postalCode", "addressRegion", "addressLocality", "streetAddress")).strip(), "JSONLD")
-        elif isinstance(place, str):
-            add("address", place, "JSONLD")
-        founder = obj.get("founder")
-        if isinstance(founder, dict) and isinstance(founder.get("name"), str):
-            add("rep", founder["name"], "JSONLD")
-        if isinstance(obj.get("foundingDate"), str):
-            add("founded", obj["foundingDate"], "JSONLD")
-    for body, tag in ((page.footer(), "FOOTER"), (text if text is not None else page.text(), "TEXT")):
-        body = unicodedata.normalize("NFKC", body or "")
-        for m in _PHONE.finditer(body):
-            around = body[max(0, m.start() - 12) : m.start()].split("\n")[-1]
-            add("phone", m[0], tag, *context(around))
-        for m in _ADDRESS.finditer(body):
-            add("address", m[0], tag, *(["HQ"] if re.search("本社|本店", body[max(0, m.start() - 10) : m.start()]) else []))
+            place = " ".join(str(place.get(k) or "") for k in ("postalCode", "addressRegion", "addressLocality", "streetAddress")).strip()
+        if isinstance(founder, dict):
+            founder = founder.get("name")
+        for field, value in (("phone", obj.get("telephone")), ("address", place), ("rep", founder), ("founded", obj.get("foundingDate"))):
+            if isinstance(value, str):
+                add(field, value, "JSONLD")
+    for name, value in page.attributes:
+        if "address" in name.lower() and VALUES["address"].search(value):
+            add("address", value, "ATTR")
+        else:
+            for number, tags in numbers_of(value):
+                add("phone", number, "ATTR", *tags)
+    loose(page.header(), "HEADER")
+    loose(page.footer(), "FOOTER")
+    loose(text if text is not None else page.text(), "TEXT")
     return out
 
 
-_PROFILE = ("会社概要", "会社情報", "企業情報", "企業概要", "会社案内", "企業案内", "会社紹介", "基本情報", "法人概要", "outline", "profile", "overview", "summary")
-_CONTACT = ("お問い合わせ", "お問合せ", "問合せ", "contact", "inquiry", "アクセス", "access", "所在地", "location")
-_BASES = ("拠点", "営業所", "事業所", "支店", "店舗", "工場", "センター")
-_FACTS = ("本社所在地", "本店所在地", "所在地", "住所", "電話", "tel", "代表", "代表取締役", "設立", "創業", "資本金", "従業員", "事業内容", "許認可")
-_PROFILE_PATHS = ("/company", "/about", "/corporate", "/profile", "/overview", "/summary", "/outline", "/guide", "/gaiyo", "/annai")
-
-
-def page_type(url: str | None, text: str | None, source: str | None, directory: int = 0) -> tuple[str, int, str]:
-    """(type, score, reason): DIRECTORY_DB, COMPANY_PROFILE, BASES_LIST, ACCESS_CONTACT or OTHER."""
-    if directory >= 10:
-        return "DIRECTORY_DB", directory, "directory_like"
-    page, place = Page(source), unquote((url or "").lower())
-    body = unicodedata.normalize("NFKC", text or page.whole_text())
-    low, head = body.lower(), unicodedata.normalize("NFKC", " ".join([page.title, *(t for _, t in page.headings)])).lower()
-    facts = sum(w in low for w in _FACTS)
-    rep, office = bool(re.search("代表取締役|代表理事|代表者|社長|会長|ceo", low)), bool(re.search("本社|本店", body))
-    by_head, by_path = any(w in head for w in _PROFILE), any(w in place for w in _PROFILE_PATHS)
-    table = bool(re.search(r"<(table|dl)\b", source or "", re.I))
-    rest = _PHONE.sub(" ", body)
-    zips, prefs, bases = len(re.findall(r"[0-9]{3}-?[0-9]{4}", rest)), len({p for p in PREFECTURES if p in body}), sum(w in low for w in _BASES)
-    profile = "COMPANY_PROFILE"
-    if re.search("(拠点|店舗|営業所)一覧", head) or zips >= 3 or prefs >= 6 or bases >= 6:
-        if (by_head or by_path) and table and facts >= 4 and office:
-            return profile, facts, "bases_list_with_profile_signals"
-        if table and rep and (by_head or by_path or office) and facts >= 3:
-            return profile, facts, "bases_list_with_rep_label"
-        return "BASES_LIST", max(zips, prefs, bases), "bases_list_signals"
-    contact = bool(_PHONE.search(body)) or bool(_ADDRESS.search(body))
-    if table and facts >= 3 and (rep or office) and contact:
-        return profile, facts, "table_labels"
-    if not table and rep and contact and (office or any(w in low for w in _PROFILE)):
-        return profile, facts, "rep_and_contact"
-    if (by_head or by_path) and table and facts >= 4:
-        return profile, facts, "profile_heading_and_labels"
-    if by_path and facts >= 4 and (office or rep):
-        return profile, facts, "profile_path_and_labels"
-    if by_head and facts >= 3:
-        return profile, facts, "profile_heading"
-    plain = contact and any(w in low for w in _CONTACT) and not (rep or by_head or by_path or any(w in low for w in _PROFILE))
-    if plain or any(w in head for w in _CONTACT) or any(w in place for w in ("/contact", "/inquiry", "/access", "/toiawase")):
-        return "ACCESS_CONTACT", facts, "contact_heading_or_path"
-    return "OTHER", facts, "default"
-
-
+#: What paths and words of links are worth.
 _RANKED_PATHS = {"/company": 12, "/about": 12, "/profile": 12, "/overview": 12, "/corporate": 12, "/contact": 8, "/access": 8, "/inquiry": 8, "/message": 6}
 _RANKED_WORDS = {"会社概要": 8, "会社情報": 8, "企業情報": 8, "会社案内": 8, "about": 6, "company": 6, "profile": 6, "お問い合わせ": 4, "contact": 4, "アクセス": 4, "access": 4}
 
 
-def ranked_links(base: str | None, source: str | None, most: int = 20) -> list[tuple[str, int]]:
+def ranked_links(base: str | None, source: str | None, most: int = 20, page: Page | None = None) -> list[tuple[str, int]]:
     """(url, score) of the links to the same host by (score down, depth, shorter first, url), each once; the first eight if none scores."""
     host, best, first = urlsplit(base or "").netloc.lower(), {}, []
-    for href, label, title in Page(source).links:
+    for href, label, title in (page or Page(source)).links:
         if not href or href.lower().startswith(("mailto:", "tel:", "javascript:", "#")):
             continue
         try:
@@ -273,23 +289,6 @@ def ranked_links(base: str | None, source: str | None, most: int = 20) -> list[t
     return found or [(u, 0) for u in dict.fromkeys(first)][:8]
 
 
-def outlines(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
-    """One row a page: title, first h1, description, text, numbers of links, forms and JSON-LD objects, type, and ranked links."""
-    schema = f"{page_id} long, title string, h1 string, description string, text string, n_links int, n_forms int, n_objects int, page_type string, type_score int, reason string, links array<struct<url: string, score: int>>"
-
-    def run(batches):
-        for df in batches:
-            rows = []
-            for i, u, s in zip(df[page_id], df[url], df[source], strict=True):
-                p = Page(s)
-                kind = page_type(u, None, s)
-                h1 = next((t for tag, t in p.headings if tag == "h1"), None)
-                rows.append((i, p.title or None, h1, p.metas.get("description") or p.metas.get("og:description"), p.text(), len(p.links), p.forms, len(p.objects()), *kind, [{"url": a, "score": b} for a, b in ranked_links(u, s)]))
-            yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in re.sub(r"<.*>", "", schema).split(", ")])
-
-    return pages.select(page_id, url, source).mapInPandas(run, schema)
-
-
 @F.pandas_udf(StructType([StructField(f, ArrayType(StringType())) for f in FIELDS]))
 def page_candidates(text: pd.Series, source: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([candidates(t, s) for t, s in zip(text, source, strict=True)], columns=list(FIELDS))
@@ -317,7 +316,10 @@ def first_json(text: pd.Series) -> pd.Series:
 
 
 def directory_score(url: Column, text: Column, source: Column) -> Column:
-    """How much a page looks like a company directory: URL forms, numbers in it, words of its text, many links to companies; 10 is one."""
+    """How much a page looks like a company directory: URL forms, numbers in it, words of its text, many links to companies; 10 is one.
+
+    Words are looked for in the first 7,000 characters, as the rule says: directories name themselves at the top.
+    """
     path = F.lower(F.regexp_extract(url, r"^[a-z]+://[^/?#]*([^?#]*)", 1))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     strong = path.rlike(r"/(companies|company|corp|corporation|corporations|detail)/[0-9]+(/|$)|/instance/(detail|company|corporate|official)[-_]?[0-9]+(/|$)|/[0-9]{13}(/|$)")
@@ -325,6 +327,7 @@ def directory_score(url: Column, text: Column, source: Column) -> Column:
     number = query.rlike(r"(?i)(^|&)(corporate_?number|hojin_no|houjin_no|hojinbango|corporateno)=[0-9]{13}(&|$)")
     ident = query.rlike(r"(?i)(^|&)(company_?id|cid|id|detail_?id)=[0-9]{2,}(&|$)")
     t = F.lower(F.substring(F.coalesce(text, F.lit("")), 1, 7000))
+    # Fixed values.
     words = ("掲載企業", "掲載情報", "掲載企業数", "企業一覧", "企業検索", "企業を探す", "検索", "絞り込み", "他社", "企業データベース", "企業db", "企業情報db", "企業情報サイト", "法人番号", "この企業情報は", "掲載している企業")
     found = sum((F.when(F.contains(t, F.lit(w)), 2).otherwise(0) for w in words), F.lit(0))
     found = found + F.when(t.rlike("(企業|会社).{0,6}(一覧|検索|データベース|db)"), 3).otherwise(0) + F.when(t.rlike("(掲載|登録).{0,8}(企業|会社)"), 3).otherwise(0)

@@ -39,15 +39,33 @@ def centroids(df: DataFrame, key: str, vector: str) -> DataFrame:
     return arr.select(key, unit(F.transform("v", lambda e: e["x"])).alias("vector"))
 
 
+#: Rows of a dimension that are held as one array; a larger one comes in as many blocks.
+HELD = 2000
+
+
+def held(dimension: DataFrame, key: str, item: Column, name: str) -> tuple[DataFrame, int]:
+    """A dimension's rows as arrays in ``name``, one row a block, and the number of blocks; a single block may be broadcast, as its size is bounded."""
+    blocks = max(1, -(-dimension.count() // HELD))
+    arrays = dimension.groupBy(F.pmod(F.xxhash64(key), F.lit(blocks))).agg(F.collect_list(item).alias(name)).select(name)
+    return (F.broadcast(arrays) if blocks == 1 else arrays), blocks
+
+
 def nearest(rows: DataFrame, row_id: str, vector: str, concepts: DataFrame, concept: str, k: int = 5, sure: float = 0.82, margin: float = 0.05) -> DataFrame:
     """Each row's ``k`` nearest concepts by (similarity down, id), the first's lead over the second, and ``auto`` if it is near and leads enough.
 
-    ``concepts`` is a dimension: its vectors go as one array with every row, so
-    there is no join and no pair is ever a row.
+    ``concepts`` is a dimension: its vectors go as arrays with every row, so no
+    pair is ever a row. One of more than ``HELD`` concepts meets the rows in
+    blocks, whose best are merged by row. A zero vector is at -1 of everything.
     """
-    every = concepts.agg(F.collect_list(F.struct(F.col(concept).alias("id"), F.col("vector").alias("v"))).alias("_concepts"))
-    sims = F.transform("_concepts", lambda c: F.struct((-dot(unit(F.col(vector)), c["v"])).alias("d"), c["id"].alias("id")))
-    out = rows.crossJoin(F.broadcast(every)).withColumn("_top", F.slice(F.array_sort(sims), 1, k))
-    first, second = -F.get("_top", F.lit(0))["d"], -F.get("_top", F.lit(1))["d"]
-    lead = F.coalesce(first - second, first)
-    return out.select(row_id, F.get("_top", F.lit(0))["id"].alias("top1"), first.alias("sim1"), F.get("_top", F.lit(1))["id"].alias("top2"), second.alias("sim2"), lead.alias("margin"), F.when((first >= sure) & (lead >= margin), "auto").otherwise("hold").alias("decision"), F.transform("_top", lambda c: c["id"]).alias("topk"))
+    every, blocks = held(concepts, concept, F.struct(F.col(concept).alias("id"), F.col("vector").alias("v")), "_concepts")
+    # The row's length divides at the end: it doesn't change the order, and within the lambda it would be summed anew for each concept.
+    sims = F.transform("_concepts", lambda c: F.struct((-dot(F.col(vector), c["v"])).alias("d"), c["id"].alias("id")))
+    size = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    out = rows.crossJoin(every).select(row_id, F.nullif(size, F.lit(0.0)).alias("_size"), F.slice(F.array_sort(sims), 1, k).alias("_top"))
+    if blocks > 1:
+        out = out.groupBy(row_id).agg(F.first("_size").alias("_size"), F.slice(F.array_sort(F.flatten(F.collect_list("_top"))), 1, k).alias("_top"))
+    place = lambda n: F.get("_top", F.lit(n))
+    sim = lambda n: F.when(place(n).isNotNull(), F.coalesce(-place(n)["d"] / F.col("_size"), F.lit(-1.0)))
+    out = out.select(row_id, place(0)["id"].alias("top1"), sim(0).alias("sim1"), place(1)["id"].alias("top2"), sim(1).alias("sim2"), F.transform("_top", lambda c: c["id"]).alias("topk"))
+    lead = F.coalesce(F.col("sim1") - F.col("sim2"), F.col("sim1"))
+    return out.select(row_id, "top1", "sim1", "top2", "sim2", lead.alias("margin"), F.when((F.col("sim1") >= sure) & (lead >= margin), "auto").otherwise("hold").alias("decision"), "topk")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 #: Python's idea of white space, as a Java character class.
+_BLANKS = " \t\n\x0b\x0c\r\u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
 SPACE = r"[\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "\u3000"
 _NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
@@ -18,7 +19,7 @@ HYPHENS = "‐‑‒–—―−－"
 
 
 def stripped(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def squeezed(c: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideglass.functions.similarity import held
+
 from .match import first_by
 
 #: The weight of each kind of text.
@@ -16,11 +18,11 @@ BLOCK_WEIGHTS = {"description": 3, "tag": 4, "profile": 2, "extra": 1, "name": 1
 def block_scores(rows: DataFrame, row_id: str, blocks: Mapping[str, Column], categories: DataFrame, weights: Mapping[str, int] = BLOCK_WEIGHTS) -> DataFrame:
     """(row_id, top, sub, score) of every category that a row's blocks name: four times the block's weight for each alias contained, once for each keyword.
 
-    ``categories(top, sub, aliases, keywords)`` is a dimension of bounded size:
-    it is held as one array beside every row and filtered there, so categories
+    ``categories(top, sub, aliases, keywords)`` is a dimension: it is held as
+    arrays of bounded size beside every row and filtered there, so categories
     that a text doesn't name never become rows.
     """
-    held = categories.agg(F.collect_list(F.struct("top", "sub", "aliases", "keywords")).alias("_categories"))
+    arrays, _ = held(categories, "sub", F.struct("top", "sub", "aliases", "keywords"), "_categories")
 
     def hits(text: Column, words: Column) -> Column:
         return F.size(F.filter(words, lambda w: (w != "") & F.contains(text, w)))
@@ -29,7 +31,7 @@ def block_scores(rows: DataFrame, row_id: str, blocks: Mapping[str, Column], cat
         parts = [(hits(t, c["aliases"]) * 4 + hits(t, c["keywords"])) * weights.get(kind, 1) for kind, t in blocks.items()]
         return sum(parts, F.lit(0))
 
-    out = rows.crossJoin(F.broadcast(held)).select(row_id, F.explode(F.filter(F.transform("_categories", lambda c: F.struct(c["top"].alias("top"), c["sub"].alias("sub"), score(c).alias("score"))), lambda x: x["score"] > 0)).alias("c"))
+    out = rows.crossJoin(arrays).select(row_id, F.explode(F.filter(F.transform("_categories", lambda c: F.struct(c["top"].alias("top"), c["sub"].alias("sub"), score(c).alias("score"))), lambda x: x["score"] > 0)).alias("c"))
     return out.select(row_id, "c.*")
 
 

@@ -15,7 +15,6 @@ URL = r"(?i)https?://|www\."
 EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 PHONE = r"0[0-9]{1,4}[-(‐―－ー ]?[0-9]{1,4}[-)‐―－ー ]?[0-9]{3,4}"
 ZIP = r"[0-9]{3}-?[0-9]{4}"
-HTML = r"(?i)<[a-z/!][^>]*>|function\s*\(|var\s+[a-z_]+\s*=|document\.|window\."
 #: Fixed values.
 SEVERITIES = ("low", "medium", "high")
 ISSUE_WEIGHTS = {
@@ -29,8 +28,14 @@ ISSUE_WEIGHTS = {
 Check = tuple[str, str, Column]
 
 
+def _script(s: Column) -> Column:
+    """Markup or script; a pattern is tried only where its word is."""
+    low = F.lower(s)
+    return (s.contains("<") & s.rlike("<[a-zA-Z/!][^>]*>")) | (low.contains("function") & low.rlike(r"function\s*\(")) | (low.contains("var") & low.rlike(r"var\s+[a-z_]+\s*=")) | low.contains("document.") | low.contains("window.")
+
+
 def common(s: Column) -> list[Check]:
-    return [("too_long", "medium", F.length(s) >= 600), ("html_or_js_noise", "high", s.rlike(HTML)), ("mojibake_replacement_char", "medium", s.contains("�"))]
+    return [("too_long", "medium", F.length(s) >= 600), ("html_or_js_noise", "high", _script(s)), ("mojibake_replacement_char", "medium", s.contains("�"))]
 
 
 def url_checks(s: Column) -> list[Check]:
@@ -92,14 +97,17 @@ def audit(df: DataFrame, row_id: str, fields: Mapping[str, object], least: str =
     values have no issues. The columns are unpivoted inside each row, so nothing
     is shuffled or read twice.
     """
-    kept = SEVERITIES[SEVERITIES.index(least) :]
-    issues = []
+    kept, s, issues = SEVERITIES[SEVERITIES.index(least) :], F.col("_trimmed"), []
+    # Values are trimmed once, behind a generator, and each row then reads the checks of its own column.
+    cells = [F.struct(F.lit(name).alias("field"), F.col(name).cast("string").alias("value"), stripped(F.col(name).cast("string")).alias("_trimmed")) for name in fields]
+    each = df.select(row_id, F.inline(F.array(*cells))).where(s != "")
     for name, checks in fields.items():
-        s = stripped(F.col(name).cast("string"))
-        for code, severity, cond in checks(s):
-            if severity in kept:
-                issues.append(F.when((s != "") & cond, F.struct(F.lit(name).alias("field"), F.col(name).cast("string").alias("value"), F.lit(severity).alias("severity"), F.lit(code).alias("code"))))
-    return df.select(row_id, F.explode(F.array_compact(F.array(*issues))).alias("i")).select(row_id, "i.*")
+        found = [F.when(cond, F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("code"))) for code, severity, cond in checks(s) if severity in kept]
+        issues.append((name, F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<severity: string, code: string>>")))
+    codes = F.lit(None).cast("array<struct<severity: string, code: string>>")
+    for name, found in issues:
+        codes = F.when(F.col("field") == name, found).otherwise(codes)
+    return each.select(row_id, "field", "value", F.inline(codes))
 
 
 _TITLES = "代表取締役|取締役社長|取締役|代表者|社長|会長|CEO|COO|CFO|CTO"

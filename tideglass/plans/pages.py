@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideglass.functions import page_types
 from tideglass.functions import pages as P
 from tideglass.functions import urls as U
 from tideglass.operators import match, state
@@ -103,7 +104,7 @@ def unchanged_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def page_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title, heading, description, text, type and ranked links by an HTML tokenizer, which SQL has not."""
-    return P.outlines(table(spark, sf_dir, "pages"))
+    return page_types.outlines(table(spark, sf_dir, "pages"))
 
 
 @query()
@@ -122,8 +123,8 @@ def page_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def bounded_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to six pages within four hops of every tenth page, over a ring of links."""
+    """Up to six pages within four hops of every page, over links that the table's own ids make."""
     p = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("src"), F.col("page_id"))
-    links = p.select("src", F.posexplode(F.array(*[((F.col("page_id") * 3 + i) % 200).cast("string") for i in (1, 2, 5)])).alias("rank", "dst"))
-    start = p.where("page_id % 10 = 0").select(F.col("src").alias("root"))
-    return state.crawl(start, links.select("src", "dst", "rank"))
+    n = p.count()
+    links = p.select("src", F.posexplode(F.array(*[((F.col("page_id") * 3 + i) % n).cast("string") for i in (1, 2, 5)])).alias("rank", "dst"))
+    return state.crawl(p.select(F.col("src").alias("root")), links.select("src", "dst", "rank"))

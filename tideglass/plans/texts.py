@@ -45,11 +45,11 @@ def truncated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS term FROM documents WHERE doc_id % 3 = 0),
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS term FROM documents),
 k AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS term FROM benchmark)
 SELECT term, count(*) AS n, count(DISTINCT doc_id) AS documents, min(doc_id) AS sample FROM w WHERE term NOT IN ('that', 'this', 'with') AND term NOT IN (SELECT term FROM k) GROUP BY 1 HAVING count(*) >= 20""")
 def unclassified_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where("doc_id % 3 = 0")
+    docs = table(spark, sf_dir, "documents")
     known = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("term")).distinct()
     return reports.terms(docs, F.lower("text"), "doc_id", "[a-z]{4,}", known, ["that", "this", "with"], 20)
 
@@ -84,16 +84,16 @@ def audit_risk_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH f AS (SELECT item_id, CASE WHEN item_id % 9 = 0 THEN '' ELSE substr(text, 1, 12) END AS value FROM benchmark),
+WITH f AS (SELECT item_id, CASE WHEN item_id % 9 = 0 THEN '' ELSE regexp_extract(text, '^[^ ]+ [^ ]+') END AS value FROM benchmark),
 e AS (SELECT item_id, value, unnest(range(0, 40)) AS pos FROM f WHERE value <> ''),
-m AS (SELECT e.item_id, e.value, pos, d.doc_id, d.text FROM e LEFT JOIN documents d ON d.doc_id = (e.item_id * 20 + pos) % 1000 AND d.doc_id % 13 <> 0),
+m AS (SELECT e.item_id, e.value, pos, d.doc_id, d.text FROM e LEFT JOIN documents d ON d.doc_id = (e.item_id * 20 + pos) % (SELECT count(*) FROM documents) AND d.doc_id % 13 <> 0),
 h AS (SELECT item_id, min(CASE WHEN contains(text, value) THEN pos END) AS hit, count(*) FILTER (WHERE doc_id IS NULL) AS missing FROM m GROUP BY 1)
 SELECT f.item_id, f.value, CASE WHEN f.value = '' THEN 'blank' WHEN f.item_id % 10 = 1 THEN 'unknown_no_evidence' WHEN hit IS NOT NULL THEN 'verified' WHEN missing > 0 THEN 'fetch_failed' ELSE 'not_found' END AS verdict,
- CASE WHEN f.value <> '' AND f.item_id % 10 <> 1 AND hit IS NOT NULL THEN 'd' || ((f.item_id * 20 + hit) % 1000) END AS evidence_url FROM f LEFT JOIN h USING (item_id)""")
+ CASE WHEN f.value <> '' AND f.item_id % 10 <> 1 AND hit IS NOT NULL THEN 'd' || ((f.item_id * 20 + hit) % (SELECT count(*) FROM documents)) END AS evidence_url FROM f LEFT JOIN h USING (item_id)""")
 def fact_check_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("item_id")
-    urls = F.transform(F.sequence(F.lit(0), F.lit(39)), lambda p: F.concat(F.lit("d"), ((k * 20 + p) % 1000).cast("string")))
-    facts = table(spark, sf_dir, "benchmark").select("item_id", F.when(k % 9 == 0, "").otherwise(F.substring("text", 1, 12)).alias("value"), F.when(k % 10 == 1, F.array().cast("array<string>")).otherwise(urls).alias("evidence"))
+    k, n = F.col("item_id"), table(spark, sf_dir, "documents").count()
+    urls = F.transform(F.sequence(F.lit(0), F.lit(39)), lambda p: F.concat(F.lit("d"), ((k * 20 + p) % n).cast("string")))
+    facts = table(spark, sf_dir, "benchmark").select("item_id", F.when(k % 9 == 0, "").otherwise(F.regexp_extract("text", "^[^ ]+ [^ ]+", 0)).alias("value"), F.when(k % 10 == 1, F.array().cast("array<string>")).otherwise(urls).alias("evidence"))
     pages = table(spark, sf_dir, "documents").where("doc_id % 13 <> 0").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("url"), "text")
     return quality.verdicts(facts, pages, ["item_id"], F.contains(F.col("_text"), F.col("value"))).select("item_id", "value", "verdict", "evidence_url")
 
@@ -111,11 +111,11 @@ def _category_sql() -> str:
     for top, sub, aliases, words in CATEGORIES:
         one = lambda t, k: f"(({' + '.join(has(a, t) for a in aliases)}) * 4 + {' + '.join(has(w, t) for w in words)}) * {k}"  # noqa: E731, B023
         parts.append(f"SELECT doc_id, '{top}' AS top, '{sub}' AS sub, ({one('body', 3)} + {one('head', 4)})::int AS score FROM b")
-    return "WITH b AS (SELECT doc_id, lower(text) AS body, lower(substr(text, 1, 40)) AS head FROM documents), s AS (" + " UNION ALL ".join(parts) + ")"
+    return "WITH b AS (SELECT doc_id, lower(text) AS body, lower(coalesce(source, '')) AS head FROM documents), s AS (" + " UNION ALL ".join(parts) + ")"
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("body"), F.lower(F.substring("text", 1, 40)).alias("head"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("body"), F.lower(F.coalesce("source", F.lit(""))).alias("head"))
     return classify.block_scores(docs, "doc_id", {"description": F.col("body"), "tag": F.col("head")}, _categories(spark))
 
 

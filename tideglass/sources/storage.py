@@ -15,8 +15,10 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of its own only where that is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in spark.checkpoint.dir; where that is unset one of its own, in local mode only: other executors would not see it."""
+    folder, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not folder and not (master.startswith("local") and not master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return folder.rstrip("/") if folder else _own_folder()
 
 
