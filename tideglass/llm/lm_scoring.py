@@ -248,10 +248,13 @@ class Network:
             later *= live[t][:, None]
         grads["u"] += before.reshape(-1, h).T @ dr.reshape(-1, 3 * h)
         dr[..., 2 * h :] = dn
-        flat, unit = np.ascontiguousarray(dr.reshape(-1, 3 * h).T), x.ravel()
-        grads["b"] += flat.sum(axis=1)
-        for j, column in enumerate(flat):
-            grads["x"][:, j] += np.bincount(unit, column, len(grads["x"]))
+        unit = x.ravel()
+        order = np.argsort(unit.astype(np.int16), kind="stable") if len(grads["x"]) < 2**15 else np.argsort(unit, kind="stable")
+        unit = unit[order]
+        at = np.flatnonzero(np.diff(unit, prepend=-1))
+        sums = np.add.reduceat(dr.reshape(-1, 3 * h)[order], at, axis=0)
+        grads["x"][unit[at]] += sums
+        grads["b"] += sums.sum(axis=0)
 
     def scored(self, texts: list[np.ndarray], start: int, lanes: int = 256, window: int = 64) -> np.ndarray:
         """Sum over each whole text of the log probabilities (natural), the state carried from window to window."""
@@ -341,7 +344,7 @@ class Model:
 
     def learn(self, train: DataFrame) -> None:
         """Go on from the present weights over all texts of ``train(doc_id, text)``, each once."""
-        width, size = 64, sum(x.size for x in self.net.p.values())
+        width, size = 8, sum(x.size for x in self.net.p.values())
         names = [f"c{j}" for j in range(width)]
         for r in range(self.cfg.rounds):
             shared = train.sparkSession.sparkContext.broadcast(self)
@@ -363,10 +366,11 @@ class Model:
 
             part = train.where("text is not null").where(F.pmod(F.xxhash64("doc_id"), F.lit(self.cfg.rounds)) == r).select("text")
             made = part.mapInArrow(run, "row long, n long, " + ", ".join(f"{c} double" for c in names))
-            sums = sorted(made.groupBy("row").agg(F.sum("n"), *[F.sum(c) for c in names]).collect())
+            sums = made.groupBy("row").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names]).toArrow().sort_by("row")
             shared.unpersist()
-            if sums:
-                flat, at = np.concatenate([np.array(x[2:]) / x[1] for x in sums])[:size].astype(np.float32), 0
+            if sums.num_rows:
+                means = np.stack([sums[c].to_numpy() for c in names], axis=1) / sums["n"].to_numpy()[:, None]
+                flat, at = means.ravel()[:size].astype(np.float32), 0
                 now = {}
                 for k in sorted(self.net.p):
                     old = self.net.p[k]
