@@ -217,3 +217,38 @@ def test_paraphrases_equal_brute_force(spark):
     bench = spark.createDataFrame([(j, " ".join(x), a) for j, (x, a) in enumerate(zip(items, answers, strict=True))], "item_id long, text string, answer string")
     got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()}
     assert len(want) >= 40 and got == want
+
+
+def test_latent_search_finds_reordered_items_and_the_stage_drops_them(spark, sf_dir, monkeypatch):
+    rng = random.Random(4)
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    leaks = {r.doc_id for r in decontamination.contaminated(whole, bench).select("doc_id").collect()}
+    clean = [r for r in whole.where("length(text) > 500").orderBy("doc_id").limit(150).collect() if r.doc_id not in leaks]
+    items = {r.item_id: r.text.split() for r in bench.collect()}
+    rows, want = [], set()
+    for k, r in enumerate(clean):
+        words = r.text.split()
+        if k % 3 == 0:
+            j, at = rng.choice(sorted(items)), rng.randrange(len(words) + 1)
+            parts = [items[j][i : i + 4] for i in range(0, len(items[j]), 4)]
+            words[at:at] = [w for p in reversed(parts) for w in p]
+            want.add((r.doc_id, j))
+        rows.append((*r[:1], " ".join(words), *r[2:]))
+    docs = spark.createDataFrame(rows, whole.schema)
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()}
+    assert got <= want and len(got) >= 0.95 * len(want)
+    left = {r.doc_id for r in decontamination.stage(spark, docs, sf_dir).collect()}
+    assert left == {r[0] for r in rows} - {i for i, _ in got}
+    fit = next(decontamination._searches(docs, bench, Latent()))
+    monkeypatch.setattr(decontamination.Search, "_near", lambda *_: None)
+    assert len(fit([r[1].encode() for r in rows])) < 0.5 * len(got)  # shared words in order alone don't find them
+
+
+def test_long_reordered_item_is_found(spark):
+    rng = random.Random(6)
+    item, other = [f"i{rng.randrange(400)}" for _ in range(300)], [f"w{i}" for i in range(700)]
+    turned = [w for i in range(290, -1, -10) for w in item[i : i + 10]]
+    docs = spark.createDataFrame([(1, " ".join(other[:350] + turned + other[350:])), (2, " ".join(other)), (3, " ".join(turned[:150] + other))], "doc_id long, text string")
+    got = decontamination.contaminated(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id) for r in got] == [(1, 7)] and 240 <= got[0].common_words <= 300

@@ -11,6 +11,8 @@ Three passes over the texts, none of which shuffles them:
    common subsequence; paraphrases must also hold the item's answer. Places
    that share enough of an item's rarest words for such a subsequence are
    candidates too, whatever their cosine: none that the check would confirm is lost.
+   What holds an item's words in another order has no such subsequence. It is
+   found by the cosine alone, and confirmed on the words without their order.
 
 Terms in more than ``most_share`` of the passages carry no evidence and are left
 out, but for an item's ``least_terms`` rarest, so that items of common words
@@ -20,6 +22,7 @@ can be found too.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -45,6 +48,8 @@ class Latent:
     copied: float = 0.8
     paraphrased: float = 0.6
     answered: float = 0.6
+    #: Cosine from which the share ``copied`` of the item's words counts in any order.
+    reordered: float = 0.5
     seed: int = 11
     #: Items are searched for in blocks of about as many bytes of text.
     block_bytes: int = 4_000_000
@@ -247,12 +252,17 @@ class Search:
         self._near(texts, hits, self._sharing(texts, hits, best), best)
         return [(n, j, *v) for (n, j), v in sorted(best.items())]
 
+    def _region(self, words: list[bytes], start: int, j: int) -> tuple[int, list[bytes]]:
+        """Where item ``j`` may begin if the window at ``start`` is in it, and the words from there on."""
+        size = len(self.items.words[j])
+        start = max(0, start - size // 2)
+        return start, words[start : start + self.cfg.passage + size]
+
     def _told(self, words: list[bytes], start: int, j: int) -> tuple[int, int, float] | None:
         """Start, common words and answer share of item ``j`` round the window at ``start``, if it is there."""
         cfg, items = self.cfg, self.items
         size = len(items.words[j])
-        start = max(0, start - size // 2)
-        region = words[start : start + cfg.passage + size]
+        start, region = self._region(words, start, j)
         here = set(region)
         if size - sum(map(items.counts[j].__getitem__, items.sets[j] - here)) < cfg.paraphrased * size:
             return None
@@ -260,8 +270,18 @@ class Search:
         told = len(items.answers[j] & here) / max(1, len(items.answers[j]))
         return (start, common, told) if common >= cfg.paraphrased * size and (common >= cfg.copied * size or told >= cfg.answered) else None
 
-    def _cosine(self, words: list[bytes], start: int, j: int) -> float:
-        t, n = np.unique([self.items.terms[w] for w in words[max(0, start) : max(0, start + self.cfg.passage)] if w in self.items.terms], return_counts=True)
+    def _reordered(self, words: list[bytes], start: int, j: int, cosine: float) -> tuple[int, int, float] | None:
+        """As ``_told``, the words in any order: for windows of that ``cosine`` that lie near the item in the latent space, by themselves or with what is round them."""
+        cfg, items = self.cfg, self.items
+        start, region = self._region(words, start, j)
+        held = Counter(region)
+        common = sum(min(n, held[w]) for w, n in items.counts[j].items())
+        if common < cfg.copied * len(items.words[j]) or max(cosine, self._cosine(region, 0, j, len(region))) < cfg.reordered:
+            return None
+        return start, common, len(items.answers[j] & held.keys()) / max(1, len(items.answers[j]))
+
+    def _cosine(self, words: list[bytes], start: int, j: int, span: int | None = None) -> float:
+        t, n = np.unique([self.items.terms[w] for w in words[max(0, start) : max(0, start + (span or self.cfg.passage))] if w in self.items.terms], return_counts=True)
         t = t.astype(int)
         p = ((1 + np.log(n)) * self.items.idf[t]) @ self.basis[t]
         return float(p @ self.rows[j] / max(np.linalg.norm(p), 1e-9))
@@ -314,13 +334,13 @@ class Search:
         return key[i]
 
     def _near(self, texts: list[bytes | None], hits: list, pairs: np.ndarray, best: dict) -> None:
-        """What windows near an item in the latent space find.
+        """What windows near an item in the latent space find: better places of what is in ``best``, and items told in another order.
 
         A window is read only if its text and item are among ``pairs``: the words
         in common that are asked for hold ``least`` of the item's rarest, so no
         other window would be confirmed.
         """
-        cfg, items, spread = self.cfg, self.items, self.cfg.passage // self.cfg.stride
+        cfg, items, spread, in_order = self.cfg, self.items, self.cfg.passage // self.cfg.stride, set(best)
         docs, windows, terms, places, base = [], [], [], [], 0
         for n, (size, at, known) in enumerate(hits):
             term = self.term_of[known]
@@ -352,7 +372,7 @@ class Search:
             for n, j, start, score in zip(docs[at].tolist(), which.tolist(), ends.tolist(), cos[near, which].tolist(), strict=True):
                 if n != now:
                     now, words = n, plain_words(texts[n])
-                found = self._told(words, start, j)
+                found = self._told(words, start, j) if (n, j) in in_order else self._reordered(words, start, j, score)
                 if found:
                     new = (score, *found)
                     if (n, j) not in best or (new[2], new[0]) > (best[n, j][2], best[n, j][0]):
@@ -378,7 +398,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cfg: Latent = Latent())
     ``docs`` has doc_id and text, ``benchmark`` item_id and text, and may have
     answer. Null and blank texts on either side find nothing, as do empty
     tables. Repeated rows are searched one by one. Whole texts are searched;
-    ``start`` counts words.
+    ``start`` counts words. ``common_words`` are those of the subsequence, or of
+    an item told in another order those in any order.
     """
     out = None
     for search in _searches(docs, benchmark, cfg):
