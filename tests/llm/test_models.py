@@ -54,6 +54,12 @@ def test_gradients_equal_differences():
             assert (hi - lo) / 2e-5 == pytest.approx(grads[k][at], rel=1e-3, abs=1e-4)
 
 
+def test_units_classes_are_a_table_of_short_integers():
+    net = Network(6, LM(hidden=4, per_class=2, tails=3), np.arange(9, 0, -1).astype(float))
+    assert net.class_of.dtype == np.int16  # sorted by radix
+    assert net.class_of.tolist() == [*net.of, *range(net.near_classes, net.near_classes + 3)]
+
+
 def test_probabilities_sum_to_one():
     cfg = LM(hidden=8, near=5, per_class=2, tails=3, head=8)
     model, counts = _model(cfg, ["a b c d e f g", "a a b c zz yy xx ww vv", "q w e r t y"])

@@ -96,8 +96,10 @@ class Network:
         self.near_classes, self.bounds = len(named), np.append(first, near)
         self.of = np.repeat(np.arange(self.near_classes), np.diff(self.bounds))
         self.classes = self.near_classes + cfg.tails
+        # The class of each unit; short integers are sorted by radix.
+        self.class_of = np.append(self.of, np.arange(self.near_classes, self.classes)).astype(np.int16 if self.classes < 2**15 else np.int64)
         mass = np.zeros(self.classes)
-        np.add.at(mass, self.class_of(np.arange(near + cfg.tails)), unit_counts + 0.5)
+        np.add.at(mass, self.class_of, unit_counts + 0.5)
         p = self.p = {
             "x": rng.normal(0, 0.1, (near + cfg.tails, 3 * h)),
             "u": rng.normal(0, h**-0.5, (h, 3 * h)),
@@ -110,9 +112,6 @@ class Network:
         for k in p:
             p[k] = p[k].astype(np.float32)
 
-    def class_of(self, unit: np.ndarray) -> np.ndarray:
-        return np.where(unit < self.near, self.of[np.minimum(unit, self.near - 1)], self.near_classes + unit - self.near)
-
     def steps(self, units: np.ndarray, state: np.ndarray, live: np.ndarray | None = None):
         """States after each of ``units`` (time x lanes), the last one and, where ``live`` (0: the state is cleared before) is given, what backpropagation needs."""
         h, (steps, lanes), p, kind = self.h, units.shape, self.p, self.p["u"].dtype
@@ -142,7 +141,7 @@ class Network:
 
     def outputs(self, states: np.ndarray, target: np.ndarray, grads: dict | None = None):
         """Log probability of each target unit's class, and of near words within it, at each state; gradients by the way."""
-        p, cls = self.p, self.class_of(target)
+        p, cls = self.p, self.class_of[target]
         score, back = np.empty(len(target), states.dtype), np.empty_like(states) if grads is not None else None
         for lo in range(0, len(target), 2048):  # what a processor's cache holds
             some, of = states[lo : lo + 2048], cls[lo : lo + 2048]
@@ -321,14 +320,13 @@ class Model:
         self.inner = np.where(np.arange(len(words)) < self.near, 0.0, self.log_count - np.log(self.tail_mass[tail]))
         self.net = Network(self.near, cfg, np.concatenate([n[: self.near], mass[:, 0].clip(0)]))
 
-    def encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Units of the words, their places in the head (-1: not there), and where those are."""
+    def encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Units of the words, their places in the head (-1: not there), and the words that are not there."""
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         out = np.flatnonzero(at < 0)
-        units = self.unit[at]
-        for i in out:
-            units[i] = self.near + tail_of(words[i], self.cfg.tails)
-        return units, at, out
+        units, rest = self.unit[at], [words[i] for i in out.tolist()]
+        units[out] = self.near + np.array([crc32(w.rstrip(b".,;:!?")[-3:]) for w in rest], np.int64) % self.cfg.tails
+        return units, at, rest
 
     def fit(self, spark: SparkSession, texts: list[bytes]) -> None:
         sample = [self.encoded(tokens(x))[0].astype(np.int32) for x in texts]
@@ -386,8 +384,8 @@ class Model:
             u, at, out = self.encoded(words)
             units.append(u.astype(np.int32))
             here = at[at >= 0]
-            rest = Counter(words[i] for i in out)
-            short = np.log(self.tail_mass[u[out] - self.near]).sum() if len(out) else 0.0
+            rest = Counter(out)
+            short = np.log(self.tail_mass[u[at < 0] - self.near]).sum() if out else 0.0
             rows.append((len(words), int(self.known[here].sum()), float(self.log_count[here].sum()), float(self.inner[here].sum() - short), rest))
         model = self.net.scored(units, 0)
         return [(n, k, base, float(inner + s), rest) for (n, k, base, inner, rest), s in zip(rows, model, strict=True)]
