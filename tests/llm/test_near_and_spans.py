@@ -171,6 +171,23 @@ def test_sentences_are_split_as_read_letter_by_letter():
         assert [[w.decode() for w in ws] for _, _, ws in substring_dedup.sentences(text.encode())] == _split(text)
 
 
+def test_parts_of_many_texts_are_read_together():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abC .!?\n\t  é") for _ in range(rng.randrange(0, 60))) for _ in range(400)]
+    texts[::7] = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(0, 60))) for _ in texts[::7]]
+    texts = [t.encode() for t in [*texts, "", " \n", "x"]]
+    spans = substring_dedup.Spans(2, 6, 4)
+    parts = substring_dedup._Parts(texts, spans)
+    i, j = substring_dedup._runs(parts.word, parts.opens, parts.bounds, lambda at: parts.joined(at, at + 1), spans)
+    found = list(zip(i.tolist(), j.tolist(), parts.joined(i, j), strict=True))
+    for text, lo, hi in zip(texts, parts.bounds.tolist(), parts.bounds[1:].tolist(), strict=False):
+        one = substring_dedup.sentences(text, spans)
+        assert [(a, b) for a, b, _ in one] == list(zip(parts.start[lo:hi].tolist(), parts.end[lo:hi].tolist(), strict=True))
+        assert all(text[a:b].lower().split() == w for a, b, w in one)
+        want = [(a, b, b" ".join(b" ".join(w) for _, _, w in one[a:b])) for a, b in substring_dedup.runs(one, spans)]
+        assert [(a - lo, b - lo, w) for a, b, w in found if lo <= a < hi] == want
+
+
 def test_a_megabyte_of_blanks_takes_linear_time():
     began = time.perf_counter()
     assert len(substring_dedup.sentences(b"one. " + b" " * 1_000_000 + b"two\n" + b"\n \t" * 300_000 + b"x")) == 3

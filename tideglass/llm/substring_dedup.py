@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,11 +10,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, fields, joined, materialize, mixed, release, table, texts_of
+from .common import fields, joined, materialize, mixed, release, sliced, table, texts_of
 
-#: A sentence ends after . ! or ? before a blank, and at a line's end. Tried once a run of blanks, so in linear time.
-_END = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|(?<![\x20\x09-\x0D])[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*")
-_WORD = re.compile(WORD.encode())
+#: Bytes of text read at once.
+SLICE = 1_000_000
+
+#: A-Z in lower case, and each blank as a space.
+_PLAIN = bytes(32 if 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 @dataclass(frozen=True)
@@ -27,31 +28,87 @@ class Spans:
     piece: int = 16
 
 
-def sentences(text: bytes, spans: Spans = Spans()) -> list[tuple[int, int, list[bytes]]]:
-    """(start, end, lower-cased words) of each sentence, or of each word of one of over two pieces' words.
+class _Parts:
+    """The sentences of ``texts``, one array each for all: every sentence is a part, or every word of one of over two pieces' words.
 
-    Only the parts of one sentence follow each other without a gap.
+    A sentence ends after . ! or ? before a blank, and at a line's end. Only the
+    parts of one sentence follow each other without a gap.
     """
-    found, at = [], 0
-    for start, end in [*((m.start(), m.end()) for m in _END.finditer(text)), (len(text), len(text))]:
-        words = text[at:start].lower().split()
-        if len(words) > 2 * spans.piece:
-            cuts = [at + m.start() for m in _WORD.finditer(text[at:start])]
-            cuts[0] = at
-            ends = [*cuts[1:], start]
-            found += [(a, b, [w]) for a, b, w in zip(cuts, ends, words, strict=True)]
-        elif words:
-            found.append((at, start, words))
-        at = end
-    return found
-
-
-def _picked(words: list[bytes], window: int) -> np.ndarray:
-    """Places of the least hash of four words among each ``window`` places: equal passages pick equal places wherever they begin."""
-    code = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    code = np.concatenate([code, np.zeros(3, np.uint64)])
-    code = mixed(sum(mixed(code[k : k + len(words)] + np.uint64(k)) * np.uint64(2 * k + 1) for k in range(4)))
-    return np.unique(np.lib.stride_tricks.sliding_window_view(code, window).argmin(axis=1) + np.arange(len(words) - window + 1))
+
+    def __init__(self, texts: list[bytes], spans: Spans):
+        raw = b"\n".join([b"", *texts, b""])
+        plain = raw.translate(_PLAIN)
+        code = np.frombuffer(plain, np.uint8)
+        blank = code == 32
+        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        starts, ends = edge[::2], edge[1::2]
+        last = code[ends - 1]
+        breaks = np.append(True, (last == ord(".")) | (last == ord("!")) | (last == ord("?")))
+        breaks[np.searchsorted(starts, np.flatnonzero(np.frombuffer(raw, np.uint8) == ord("\n")))] = True
+        n = len(starts)
+        heads = np.flatnonzero(breaks[:n])
+        sizes = np.diff(heads, append=n)
+        #: The first word of each part, then the number of words.
+        self.word = np.append(np.flatnonzero(breaks[:n] | np.repeat(sizes > 2 * spans.piece, sizes)), n)
+        #: Whether a sentence begins with the part.
+        self.opens = breaks[self.word[:-1]]
+        after = self.word[1:]
+        inside = np.append(~self.opens[1:], np.zeros(min(1, len(after)), bool))
+        offsets = np.cumsum([1, *(len(t) + 1 for t in texts)])
+        #: The first part of each text, then the number of parts.
+        self.bounds = np.searchsorted(starts[self.word[:-1]], offsets)
+        #: Each part's bytes in its text.
+        shift = np.repeat(offsets[:-1], np.diff(self.bounds))
+        self.start, self.end = starts[self.word[:-1]] - shift, ends[after - 1] - shift
+        self.end[inside] = starts[after[inside]] - shift[inside]
+        # The words, lower-cased, with one blank between them.
+        self.plain = code[~(blank & np.append(False, blank[:-1]))].tobytes()
+        lengths = ends - starts
+        self.to = np.cumsum(lengths + 1)
+        self.at = self.to - lengths
+
+    def joined(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The words of the parts from each of ``first`` to before ``last``."""
+        plain = self.plain
+        return [plain[a:b] for a, b in zip(self.at[self.word[first]].tolist(), self.to[self.word[last] - 1].tolist(), strict=True)]
+
+
+def sentences(text: bytes, spans: Spans = Spans()) -> list[tuple[int, int, list[bytes]]]:
+    """(start, end, lower-cased words) of each part of the text."""
+    parts = _Parts([text], spans)
+    all_ = np.arange(len(parts.opens))
+    return [(a, b, w.split()) for a, b, w in zip(parts.start.tolist(), parts.end.tolist(), parts.joined(all_, all_ + 1), strict=True)]
+
+
+def _picked(heads: np.ndarray, ends: np.ndarray, words, window: int) -> np.ndarray:
+    """Of sentences of single words, the places of the least hash of four words among each ``window`` places: equal passages pick equal places wherever they begin."""
+    # Three empty places after each sentence.
+    room = ends - heads + 3
+    to = np.cumsum(room)
+    place = np.arange(room.sum()) - np.repeat(to - room - heads, room)
+    real = place < np.repeat(ends, room)
+    code = np.zeros(len(place), np.uint64)
+    code[real] = np.fromiter(map(xxhash.xxh3_64_intdigest, words(place[real])), np.uint64, int(real.sum()))
+    n = len(code) - 3
+    code = mixed(sum(mixed(code[k : k + n] + np.uint64(k)) * np.uint64(2 * k + 1) for k in range(4)))
+    whole = np.flatnonzero(place + window <= np.repeat(ends, room))
+    return place[np.unique(np.lib.stride_tricks.sliding_window_view(code, window)[whole].argmin(axis=1) + whole)]
+
+
+def _runs(word: np.ndarray, opens: np.ndarray, bounds: np.ndarray, words, spans: Spans) -> tuple[np.ndarray, np.ndarray]:
+    """First and last + 1 part of the runs of all texts, by first, then last. ``words`` gives those of parts of one word."""
+    heads = np.flatnonzero(opens)
+    ends = np.append(heads[1:], len(opens))[: len(heads)]
+    many = ends - heads > 1
+    i = heads
+    if many.any():
+        i = np.union1d(heads, _picked(heads[many], ends[many], words, max(1, spans.piece // 2)))
+    j = np.maximum(i + spans.sentences, np.searchsorted(word, word[i] + spans.words))
+    fit = j <= bounds[np.searchsorted(bounds, i, side="right")]
+    first = np.minimum(ends - spans.sentences, np.searchsorted(word, word[ends] - spans.words, side="right") - 1)
+    back = first >= bounds[np.searchsorted(bounds, heads, side="right") - 1]
+    both = np.unique(np.concatenate([i[fit] << 32 | j[fit], first[back] << 32 | ends[back]]))
+    return both >> 32, both & (2**32 - 1)
 
 
 def runs(parts: list[tuple[int, int, list[bytes]]], spans: Spans = Spans()) -> list[tuple[int, int]]:
@@ -61,47 +118,22 @@ def runs(parts: list[tuple[int, int, list[bytes]]], spans: Spans = Spans()) -> l
     inside the repeat. A passage inside a long sentence is met by a run in each
     half piece of its words.
     """
-    n = len(parts)
-    if not n:
-        return []
-    total = np.concatenate([[0], np.cumsum([len(w) for _, _, w in parts])]).astype(int)
-    opens = np.array([i == 0 or parts[i - 1][1] < parts[i][0] for i in range(n)], bool)
-    heads = np.flatnonzero(opens)
-    starts = [heads]
-    for a, b in zip(heads.tolist(), [*heads[1:].tolist(), n], strict=True):
-        if b - a > 1:
-            starts.append(a + _picked([w for _, _, (w,) in parts[a:b]], max(1, spans.piece // 2)))
-    i = np.unique(np.concatenate(starts))
-    j = np.maximum(i + spans.sentences, np.searchsorted(total, total[i] + spans.words))
-    ends = np.append(heads[1:], n)
-    first = np.minimum(ends - spans.sentences, np.searchsorted(total, total[ends] - spans.words, side="right") - 1)
-    out = {(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if b <= n}
-    return sorted(out | {(a, b) for a, b in zip(first.tolist(), ends.tolist(), strict=True) if a >= 0})
-
-
-def _codes(text: bytes, spans: Spans) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    parts = sentences(text, spans)
-    joined = [b" ".join(w) for _, _, w in parts]
-    at = runs(parts, spans)
-    codes = [xxhash.xxh3_128_intdigest(b" ".join(joined[i:j])) for i, j in at]
-    half = np.array([[c >> 64, c & (2**64 - 1)] for c in codes], np.uint64).reshape(-1, 2).view(np.int64)
-    return half[:, 0], half[:, 1], [i << 32 | j for i, j in at]
+    word = np.cumsum([0, *(len(w) for _, _, w in parts)])
+    opens = np.array([i == 0 or parts[i - 1][1] < parts[i][0] for i in range(len(parts))], bool)
+    i, j = _runs(word, opens, np.array([0, len(parts)]), lambda at: [parts[k][2][0] for k in at.tolist()], spans)
+    return list(zip(i.tolist(), j.tolist(), strict=True))
 
 
 def _spans(docs: DataFrame, spans: Spans) -> DataFrame:
     def run(batches):
-        for batch in batches:
-            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            a, b, at, of = [], [], [], []
-            for n, text in enumerate(texts_of(batch.column(2))):
-                x, y, i = _codes(text or b"", spans)
-                a.append(x)
-                b.append(y)
-                at += i
-                of += [n] * len(i)
-            take = lambda v: pa.array([v[n] for n in of], pa.int64())
-            flat = lambda v: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64())
-            yield fields(doc_id=take(ids), own=take(keys), h1=flat(a), h2=flat(b), at=pa.array(at, pa.int64()))
+        for batch in sliced(batches, 2, SLICE):
+            parts = _Parts([t or b"" for t in texts_of(batch.column(2))], spans)
+            i, j = _runs(parts.word, parts.opens, parts.bounds, lambda at: parts.joined(at, at + 1), spans)
+            code = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts.joined(i, j))), ">i8").astype(np.int64).reshape(-1, 2)
+            of = np.searchsorted(parts.bounds, i, side="right") - 1
+            before = parts.bounds[of]
+            row = pa.array(of)
+            yield fields(doc_id=batch.column(0).take(row), own=batch.column(1).take(row), h1=pa.array(code[:, 0]), h2=pa.array(code[:, 1]), at=pa.array((i - before) << 32 | (j - before)))
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("own"), "text").mapInArrow(run, "doc_id long, own long, h1 long, h2 long, at long")
 
@@ -130,19 +162,24 @@ def repeated_spans(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
     return runs
 
 
-def _cut(text: bytes, again: list[int], spans: Spans) -> tuple[bytes, int, int, int]:
-    """The text without the sentences that the runs ``again`` cover; sentences, sentences and words removed."""
-    parts = sentences(text, spans)
-    gone = set()
-    for x in again:
-        gone.update(range(x >> 32, x & (2**32 - 1)))
-    kept, at = [], 0
-    for i, (start, end, _) in enumerate(parts):
-        if i in gone:
+def _cut(texts: list[bytes | None], again: list[list[int] | None], spans: Spans) -> list[tuple[bytes | None, int, int, int]]:
+    """Each text without the sentences that its runs ``again`` cover; sentences, sentences and words removed."""
+    parts = _Parts([t or b"" for t in texts], spans)
+    words, out = np.diff(parts.word), []
+    for text, met, lo, hi in zip(texts, again, parts.bounds[:-1].tolist(), parts.bounds[1:].tolist(), strict=True):
+        if not met:
+            out.append((text, hi - lo, 0, 0))
+            continue
+        x = np.array(met, np.int64)
+        over = np.bincount(x >> 32, minlength=hi - lo + 1) - np.bincount(x & (2**32 - 1), minlength=hi - lo + 1)
+        gone = lo + np.flatnonzero(np.cumsum(over[:-1]))
+        kept, at = [], 0
+        for start, end in zip(parts.start[gone].tolist(), parts.end[gone].tolist(), strict=True):
             kept.append(text[at:start])
             at = end
-    kept.append(text[at:])
-    return b"".join(kept).strip(b" \t\n\r\x0b\x0c") if gone else text, len(parts), len(gone), sum(len(parts[i][2]) for i in gone)
+        kept.append(text[at:])
+        out.append((b"".join(kept).strip(b" \t\n\r\x0b\x0c"), hi - lo, len(gone), int(words[gone].sum())))
+    return out
 
 
 def without_repeats(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
@@ -162,9 +199,8 @@ def without_repeats(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
     met = d.join(again.hint("merge"), F.col("_rest.doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_o")), "left").select("_rest", "text", "runs")
 
     def run(batches):
-        for batch in batches:
-            out = [(None, 0, 0, 0) if t is None else _cut(t, s or [], spans) for t, s in zip(texts_of(batch.column(1)), batch.column(2).to_pylist(), strict=True)]
-            texts, *counts = zip(*out, strict=True) if out else ([], [], [], [])
+        for batch in sliced(batches, 1, SLICE):
+            texts, *counts = zip(*_cut(texts_of(batch.column(1)), batch.column(2).to_pylist(), spans), strict=True)
             yield fields(_rest=batch.column(0), text=pa.array(texts, pa.binary()).cast(pa.string()), **{k: pa.array(v, pa.int64()) for k, v in zip(("n_sentences", "n_removed", "words_removed"), counts, strict=True)})
 
     kind = met.schema["_rest"].dataType.simpleString()
