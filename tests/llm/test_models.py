@@ -85,6 +85,19 @@ def test_state_is_carried_across_windows():
     assert model.net.scored(texts, 0, window=7, lanes=2) == pytest.approx(whole, rel=1e-4)
 
 
+def test_short_texts_share_lanes_beside_a_long_one():
+    cfg = LM(hidden=8, near=20, per_class=5, tails=4)
+    model, _ = _model(cfg, ["a b c d e f g h i j " * 30])
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, len(model.net.p["x"]), n).astype(np.int32) for n in (900, *rng.integers(1, 40, 120), 1)]
+    steps, done = model.net.steps, []
+    model.net.steps = lambda units, *a, **k: done.append(units.shape) or steps(units, *a, **k)
+    together = model.net.scored(texts, 0, lanes=8, window=16)
+    # Lanes go on with other texts: no more steps than the longest text's, and few empty places.
+    assert sum(t for t, _ in done) == 900 and sum(t * n for t, n in done) < 1.2 * sum(map(len, texts))
+    assert together == pytest.approx([model.net.scored([x], 0)[0] for x in texts], rel=1e-4)
+
+
 def test_lm_query(spark, sf_dir):
     out = lm_scoring.op1_lm_scoring(spark, sf_dir).toPandas()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}

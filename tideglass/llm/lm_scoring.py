@@ -18,6 +18,7 @@ frequent (the ones held in memory) get their counts from a join.
 
 from __future__ import annotations
 
+import heapq
 from collections import Counter
 from dataclasses import dataclass, replace
 from itertools import repeat
@@ -31,6 +32,10 @@ from pyspark.sql import functions as F
 from .common import fields, fold, least_hashed, materialize, on_one_worker, sliced, table, texts_of
 
 END = b" "  # no word holds a blank
+#: Tokens whose logits are made at once: what a processor's cache holds.
+BLOCK = 1024
+#: Bytes of text scored at once: a text is read in one lane, so that the longest should be few among them.
+SLICE = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -67,15 +72,15 @@ def tail_of(word: bytes, tails: int) -> int:
 
 
 def _exp_sums(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """exp of rows (made in place), their sums, and the logarithms of the true sums; the maximum is taken out only where single precision needs it."""
+    """exp of columns (made in place), their sums, and the logarithms of the true sums; the maximum is taken out only where single precision needs it."""
     with np.errstate(over="ignore", divide="ignore"):
         e = np.exp(x)
-        sums = e @ np.ones(x.shape[-1], x.dtype)
+        sums = np.ones(len(x), x.dtype) @ e
         logs = np.log(sums)
     if not np.isfinite(logs).all():
-        top = x.max(axis=-1)
-        e = np.exp(x - top[..., None])
-        sums = e.sum(axis=-1)
+        top = x.max(axis=0)
+        e = np.exp(x - top)
+        sums = e.sum(axis=0)
         logs = top + np.log(sums)
     return e, sums, logs
 
@@ -112,73 +117,95 @@ class Network:
         for k in p:
             p[k] = p[k].astype(np.float32)
 
-    def steps(self, units: np.ndarray, state: np.ndarray, live: np.ndarray | None = None):
-        """States after each of ``units`` (time x lanes), the last one and, where ``live`` (0: the state is cleared before) is given, what backpropagation needs."""
+    def steps(self, units: np.ndarray, state: np.ndarray, live: np.ndarray | None = None, keep: bool = True):
+        """States after each of ``units`` (time x lanes), the last one and, where ``live`` (0: the state is cleared before) is given and ``keep`` says so, what backpropagation needs.
+
+        Inside, lanes are the last axis, so that each gate of a step is one block of memory.
+        """
         h, (steps, lanes), p, kind = self.h, units.shape, self.p, self.p["u"].dtype
-        u = np.ascontiguousarray(p["u"][:, : 2 * h]), np.ascontiguousarray(p["u"][:, 2 * h :])
-        gates, new = (p["x"][:, : 2 * h] + p["b"][: 2 * h])[units], (p["x"][:, 2 * h :] + p["b"][2 * h :])[units]
-        out = np.empty((steps, lanes, h), kind)
-        r = np.empty((lanes, 2 * h), kind)
-        inner = np.empty((steps if live is not None else 1, lanes, h), kind)
-        before = np.empty((steps, lanes, h), kind) if live is not None else None
+        keep = keep and live is not None
+        u, given = np.ascontiguousarray(p["u"].T), p["x"] + p["b"]
+        np.negative(u[: 2 * h], out=u[: 2 * h])
+        np.negative(given[:, : 2 * h], out=given[:, : 2 * h])
+        gates = np.ascontiguousarray(np.take(given, units, axis=0).transpose(0, 2, 1))
+        out = np.empty((steps, h, lanes), kind)
+        r = np.empty((3 * h, lanes), kind)
+        inner, before = (np.empty((steps, h, lanes), kind), np.empty((steps, h, lanes), kind)) if keep else (None, None)
+        state, c = np.ascontiguousarray(state.T), r[2 * h :]
+        clear = live is not None and (live != 1).any(axis=1)
         for t in range(steps):
-            if live is not None:
-                state = np.multiply(state, live[t][:, None], out=before[t])
-            g, n, c = gates[t], new[t], inner[t if live is not None else 0]
-            g += np.matmul(state, u[0], out=r)
-            np.negative(g, out=g)
+            if keep:
+                state = np.multiply(state, live[t], out=before[t])
+            elif live is not None and clear[t]:
+                state = state * live[t]
+            np.matmul(u, state, out=r)
+            g, n = gates[t, : 2 * h], gates[t, 2 * h :]
+            g += r[: 2 * h]
             np.exp(g, out=g)
             g += 1
             np.reciprocal(g, out=g)
-            np.matmul(state, u[1], out=c)
-            n += g[:, h:] * c
+            if keep:
+                inner[t] = c
+            c *= g[h:]
+            n += c
             np.tanh(n, out=n)
             o = np.subtract(state, n, out=out[t])
-            o *= g[:, :h]
+            o *= g[:h]
             o += n
             state = o
-        return out, state, (before, gates, new, inner)
+        return out.transpose(0, 2, 1), state.T, (before, gates, inner)
 
     def outputs(self, states: np.ndarray, target: np.ndarray, grads: dict | None = None):
-        """Log probability of each target unit's class, and of near words within it, at each state; gradients by the way."""
-        p, cls = self.p, self.class_of[target]
-        score, back = np.empty(len(target), states.dtype), np.empty_like(states) if grads is not None else None
-        for lo in range(0, len(target), 2048):  # what a processor's cache holds
-            some, of = states[lo : lo + 2048], cls[lo : lo + 2048]
+        """Log probability of each target unit's class, and of near words within it, at each state (the last axis); gradients by the way, in the form of ``states``."""
+        h, p, cls, kind = self.h, self.p, self.class_of[target], states.dtype
+        score, back = np.empty(len(target), kind), np.empty((h, len(target)), kind) if grads is not None else None
+        # The biases are weights of a last input, always one.
+        columns = np.empty((h + 1, len(target)), kind)
+        columns[:h].reshape(h, *states.shape[:-1])[...], columns[h] = np.moveaxis(states, -1, 0), 1
+        c, made = np.column_stack([p["c"].T, p["cb"]]), np.zeros((h + 1, self.classes), kind)
+        for lo in range(0, len(target), BLOCK):
+            some, of = columns[:, lo : lo + BLOCK], cls[lo : lo + BLOCK]
             at = np.arange(len(of))
-            logits = some @ p["c"]
-            logits += p["cb"]
-            picked = logits[at, of]
+            logits = c @ some
+            picked = logits[of, at]
             d, sums, logs = _exp_sums(logits)
-            np.subtract(picked, logs, out=score[lo : lo + 2048])
+            np.subtract(picked, logs, out=score[lo : lo + BLOCK])
             if grads is not None:
-                d /= sums[:, None]
-                d[at, of] -= 1
-                grads["c"] += some.T @ d
-                grads["cb"] += d.sum(axis=0)
-                np.matmul(d, p["c"].T, out=back[lo : lo + 2048])
+                d *= 1 / sums
+                d[of, at] -= 1
+                made += some @ d.T
+                np.matmul(p["c"], d, out=back[:, lo : lo + BLOCK])
         near = np.flatnonzero(target < self.near)
         order = near[np.argsort(cls[near], kind="stable")]
-        own, state = target[order], states[order]
-        bounds = np.flatnonzero(np.diff(cls[order], prepend=-1, append=-1)) if len(order) else []
-        more, inside = np.empty(len(order), state.dtype), np.empty_like(state)
-        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            first, last = self.bounds[self.of[own[lo]]], self.bounds[self.of[own[lo]] + 1]
-            rows, k, j = slice(first, last), np.arange(hi - lo), own[lo:hi] - first
-            logits = state[lo:hi] @ p["w"][rows].T
-            logits += p["wb"][rows]
-            more[lo:hi] = logits[k, j]
+        own, state = np.take(target, order), np.take(columns, order, axis=1)
+        bounds = np.flatnonzero(np.diff(np.take(cls, order), prepend=-1, append=-1)) if len(order) else np.zeros(0, int)
+        more, inside = np.empty(len(order), kind), np.zeros((h, len(order) + 1), kind)
+        owners = self.of[own[bounds[:-1]]] if len(order) else bounds
+        own = own - self.bounds[self.of[own]]
+        weights, places = np.column_stack([p["w"], p["wb"]]), np.arange(len(order))
+        for lo, hi, k in zip(bounds[:-1].tolist(), bounds[1:].tolist(), owners.tolist(), strict=True):
+            rows = slice(self.bounds[k], self.bounds[k + 1])
+            some, j, at = state[:, lo:hi], own[lo:hi], places[: hi - lo]
+            logits = weights[rows] @ some
+            picked = logits[j, at]
             d, sums, logs = _exp_sums(logits)
-            more[lo:hi] -= logs
+            np.subtract(picked, logs, out=more[lo:hi])
             if grads is not None:
-                d /= sums[:, None]
-                d[k, j] -= 1
-                grads["w"][rows] += d.T @ state[lo:hi]
-                grads["wb"][rows] += d.sum(axis=0)
-                np.matmul(d, p["w"][rows], out=inside[lo:hi])
+                d *= 1 / sums
+                d[j, at] -= 1
+                both = d @ some.T
+                grads["w"][rows] += both[:, :h]
+                grads["wb"][rows] += both[:, h]
+                np.matmul(p["w"][rows].T, d, out=inside[:, lo:hi])
         score[order] += more
         if grads is not None:
-            back[order] += inside
+            grads["c"] += made[:h]
+            grads["cb"] += made[h]
+            # Other units get the zero at the end.
+            at = np.full(len(target), len(order))
+            at[order] = places
+            back += np.take(inside, at, axis=1)
+            back = np.moveaxis(back.reshape(h, *states.shape[:-1]), 0, -1)
         return score, back
 
     def fit(self, texts: list[np.ndarray], start: int, cfg: LM) -> list[float]:
@@ -199,9 +226,9 @@ class Network:
                 grads = {k: np.zeros_like(q) for k, q in p.items()}
                 live = (x != start).astype(np.float32)
                 out, state, kept = self.steps(x, state, live)
-                score, back = self.outputs(out.reshape(-1, h), y.ravel(), grads)
+                score, back = self.outputs(out, y.ravel(), grads)
                 loss -= float(score.sum(dtype=float))
-                self._back(x, kept, back.reshape(out.shape), grads, live)
+                self._back(x, kept, back, grads, live)
                 turn += 1
                 rate = cfg.rate * (1 - (epoch + lo / length) / cfg.epochs) + 1e-4
                 for k, g in grads.items():
@@ -225,61 +252,95 @@ class Network:
 
     def _back(self, x: np.ndarray, kept: tuple, back: np.ndarray, grads: dict, live: np.ndarray) -> None:
         """Add the gradients of a window from those of its states, ``back``."""
-        h, u = self.h, np.ascontiguousarray(self.p["u"].T)
-        before, gates, n, inner = kept
-        z, g = np.ascontiguousarray(gates[..., :h]), np.ascontiguousarray(gates[..., h:])
-        # What does not hang on later steps, for all steps at once.
-        by_n = (1 - z) * (1 - n * n)
-        by_z = (before - n) * z * (1 - z)
-        by_g = inner * g * (1 - g)
-        later, dn = np.zeros_like(back[0]), np.empty_like(back)
-        dr = np.empty((*x.shape, 3 * h), back.dtype)
+        h, u = self.h, self.p["u"]
+        before, gates, inner = kept
+        back = np.ascontiguousarray(back.transpose(0, 2, 1))
+        dr = np.empty_like(gates)
+        later, dn, by = np.zeros_like(back[0]), np.empty_like(back), np.empty_like(back[0])
         for t in range(len(x) - 1, -1, -1):
-            d = back[t]
+            z, g, n = gates[t, :h], gates[t, h : 2 * h], gates[t, 2 * h :]
+            d, dz, dg = back[t], dr[t, :h], dr[t, h : 2 * h]
             d += later
-            np.multiply(d, by_n[t], out=dn[t])
-            np.multiply(d, by_z[t], out=dr[t, :, :h])
-            np.multiply(dn[t], by_g[t], out=dr[t, :, h : 2 * h])
-            np.multiply(dn[t], g[t], out=dr[t, :, 2 * h :])
-            np.matmul(dr[t], u, out=later)
-            d *= z[t]
+            e = np.subtract(1, z, out=dn[t])
+            # d (before - n) z (1 - z)
+            np.subtract(before[t], n, out=dz)
+            dz *= z
+            dz *= e
+            dz *= d
+            # d (1 - z) (1 - n n)
+            e *= d
+            np.multiply(n, n, out=by)
+            by *= e
+            e -= by
+            np.multiply(e, g, out=dr[t, 2 * h :])
+            # the same times inner g (1 - g)
+            np.subtract(1, g, out=dg)
+            dg *= inner[t]
+            dg *= dr[t, 2 * h :]
+            np.matmul(u, dr[t], out=later)
+            d *= z
             later += d
-            later *= live[t][:, None]
-        grads["u"] += before.reshape(-1, h).T @ dr.reshape(-1, 3 * h)
-        dr[..., 2 * h :] = dn
+            later *= live[t]
+        grads["u"] += np.matmul(before, dr.transpose(0, 2, 1)).sum(axis=0)
+        dr[:, 2 * h :] = dn
         unit = x.ravel()
         order = np.argsort(unit.astype(np.int16), kind="stable") if len(grads["x"]) < 2**15 else np.argsort(unit, kind="stable")
         unit = unit[order]
         at = np.flatnonzero(np.diff(unit, prepend=-1))
-        sums = np.add.reduceat(dr.reshape(-1, 3 * h)[order], at, axis=0)
+        rows = np.take(dr.transpose(0, 2, 1).reshape(-1, 3 * h), order, axis=0)
+        grads["b"] += np.ones(len(rows), rows.dtype) @ rows
+        # Sums of many rows are products with ones; those of few are made at once for all such units, row by row.
+        sizes = np.diff(at, append=len(unit))
+        many, ones = sizes >= 8, np.ones(sizes.max(), rows.dtype)
+        for lo, n, k in zip(at[many].tolist(), sizes[many].tolist(), unit[at[many]].tolist(), strict=True):
+            grads["x"][k] += ones[:n] @ rows[lo : lo + n]
+        few = np.flatnonzero(~many)
+        few = few[np.argsort(-sizes[few], kind="stable")]
+        sums, sizes, at = np.take(rows, at[few], axis=0), sizes[few], at[few]
+        for k in range(1, int(sizes[0]) if len(few) else 0):
+            more = np.searchsorted(-sizes, -k, side="left")
+            sums[:more] += np.take(rows, at[:more] + k, axis=0)
         grads["x"][unit[at]] += sums
-        grads["b"] += sums.sum(axis=0)
+
 
     def scored(self, texts: list[np.ndarray], start: int, lanes: int = 256, window: int = 64) -> np.ndarray:
-        """Sum over each whole text of the log probabilities (natural), the state carried from window to window."""
+        """Sum over each whole text of the log probabilities (natural), the state carried from window to window.
+
+        Each lane reads texts one after another, cleared before each; the longest are dealt first, each to the lane with the least.
+        """
+        if not texts:
+            return np.zeros(0)
+        loads, dealt = [(0, j) for j in range(min(lanes, len(texts)))], [[] for _ in range(min(lanes, len(texts)))]
+        for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
+            size, j = loads[0]
+            dealt[j].append(i)
+            heapq.heapreplace(loads, (size + len(texts[i]), j))
+        dealt = [dealt[j] for _, j in sorted(loads, reverse=True)]
+        order = [i for some in dealt for i in some]
+        y = np.concatenate([texts[i] for i in order])
+        first = np.cumsum([0, *(len(texts[i]) for i in order)])[:-1]
+        sizes = np.array([sum(len(texts[i]) for i in some) for some in dealt])
+        offsets = np.cumsum(sizes) - sizes
+        x = np.append(np.array([start], y.dtype), y[:-1])
+        x[first] = start
+        live = np.ones(len(y), np.float32)
+        live[first] = 0
+        found, state = np.empty(len(y), np.float32), np.zeros((len(sizes), self.h), np.float32)
+        at = 0
+        while at < sizes[0]:
+            n = int(np.searchsorted(-sizes, -at, side="left"))
+            span = window * len(sizes) // n  # fewer lanes, longer windows
+            steps = np.arange(at, min(at + span, int(sizes[0])))[:, None]
+            places = np.minimum(offsets[:n] + steps, len(y) - 1)
+            states, state, _ = self.steps(x[places], state[:n], live[places], keep=False)
+            if sizes[n - 1] <= steps[-1, 0]:
+                here = steps < sizes[:n]
+                states, places = states[here], places[here]
+            places = places.ravel()
+            found[places] = self.outputs(states, y[places])[0]
+            at += span
         out = np.zeros(len(texts))
-        order = np.argsort([-len(x) for x in texts], kind="stable")
-        for lo in range(0, len(order), lanes):
-            some = order[lo : lo + lanes]
-            sizes = np.array([len(texts[i]) for i in some])
-            state = np.zeros((len(some), self.h), np.float32)
-            sums = np.zeros(len(some))
-            for at in range(0, int(sizes[0]), window):
-                live = int(np.searchsorted(-sizes, -at, side="left"))
-                span = int(min(window, sizes[0] - at))
-                y = np.full((span, live), -1, np.int64)
-                x = np.full((span, live), start, np.int64)
-                for j in range(live):
-                    part = texts[some[j]][at : at + span]
-                    y[: len(part), j] = part
-                    x[1 : len(part), j] = part[:-1]
-                    x[0, j] = texts[some[j]][at - 1] if at else start
-                states, state, _ = self.steps(x, state[:live])
-                here = y.ravel() >= 0
-                got = np.zeros(span * live)
-                got[here] = self.outputs(states.reshape(-1, self.h)[here], y.ravel()[here])[0]
-                sums[:live] += got.reshape(span, live).sum(axis=0)
-            out[some] = sums
+        out[order] = np.add.reduceat(found.astype(float), first)
         return out
 
 
@@ -378,8 +439,11 @@ class Model:
 
     def scored(self, texts: list[bytes | None]) -> list[tuple]:
         """Of each text: tokens, those known, sums of log(c + 1) and of model log probability but for words beyond the head, and those words with counts."""
-        units, rows = [], []
+        units, rows, same = [], [], {}
         for text in texts:
+            if text in same:
+                continue
+            same[text] = len(same)
             words = tokens(text)
             u, at, out = self.encoded(words)
             units.append(u.astype(np.int32))
@@ -388,7 +452,8 @@ class Model:
             short = np.log(self.tail_mass[u[at < 0] - self.near]).sum() if out else 0.0
             rows.append((len(words), int(self.known[here].sum()), float(self.log_count[here].sum()), float(self.inner[here].sum() - short), rest))
         model = self.net.scored(units, 0)
-        return [(n, k, base, float(inner + s), rest) for (n, k, base, inner, rest), s in zip(rows, model, strict=True)]
+        out = [(n, k, base, float(inner + s), rest) for (n, k, base, inner, rest), s in zip(rows, model, strict=True)]
+        return [out[same[text]] for text in texts]
 
 
 def _tails(counts: DataFrame, cfg: LM) -> np.ndarray:
@@ -457,7 +522,7 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in sliced(batches, 1):
+        for batch in sliced(batches, 1, SLICE):
             rows = shared.value.scored(texts_of(batch.column(1)))
             n, k, b, s, rest = zip(*rows, strict=True) if rows else ([],) * 5
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in rest])]).astype(np.int32)
