@@ -4,6 +4,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +99,55 @@ def test_short_texts_share_lanes_beside_a_long_one():
     assert together == pytest.approx([model.net.scored([x], 0)[0] for x in texts], rel=1e-4)
 
 
+def test_columns_are_read_at_once_like_their_words(monkeypatch):
+    odd = ["the idiot of it", "  Lead", "trail \n", "", " ", None, "a\x0b\x0cb\rC\td\n", "É ÀB \x85x\u3000y z", "\x1c\x1da\x00b", "... a. ?! ab,; zz zz", "x" * 3000, "zz b zz.", "zz b zz."]
+    texts = [t and t.encode() for t in odd] + [b"\xff\xfe a \xe9Q"]  # the last one isn't UTF-8
+    words = [tokens(t)[:-1] for t in texts]
+    cfg = LM(hidden=4, near=3, per_class=2, tails=5, head=6)
+    counts = Counter(w for some in words for w in [*some, b" "])
+    tails = np.zeros((cfg.tails, 2), np.int64)
+    for w, n in counts.items():
+        tails[tail_of(w, cfg.tails)] += (n, 1)
+    model = Model(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: cfg.head], tails, sum(counts.values()), len(counts), cfg)
+    held = model.words.to_pylist()
+    monkeypatch.setattr(lm_scoring, "tokens", None)  # no text is parted word by word in Python
+
+    column = pa.array([b"before it", *texts], pa.binary()).slice(1)
+    got, bounds = lm_scoring.words_of(column)
+    assert [got.to_pylist()[lo:hi] for lo, hi in itertools.pairwise(bounds.tolist())] == words
+    assert lm_scoring.tails_of(got, 5).tolist() == [tail_of(w, 5) for some in words for w in some]
+    unit = {w: int(model.unit[held.index(w)]) if w in held else model.near + tail_of(w, 5) for w in counts}
+    assert [x.tolist() for x in model.texts(column)] == [[unit[w] for w in some] + [0] for some in words]
+    n, known, base, score, rest = model.scored(column)
+    assert n.tolist() == [len(some) + 1 for some in words]
+    assert known.tolist() == [1 + sum(w in held for w in some) for some in words]
+    assert base == pytest.approx([sum(math.log(counts[w] + 1) for w in [*some, b" "] if w in held) for some in words])
+    assert [{x["word"]: x["times"] for x in r} for r in rest.to_pylist()] == [Counter(w for w in some if w not in held) for some in words]
+    each = [model.net.scored([x], 0)[0] for x in model.texts(column)]
+    inner = [sum(model.inner[held.index(w)] if w in held else -math.log(model.tail_mass[tail_of(w, 5)]) for w in some) for some in words]
+    assert score == pytest.approx(np.add(each, inner), rel=1e-5)
+    assert [len(x) for x in model.scored(column.slice(0, 0))] == [0] * 5
+
+
+def test_outputs_are_equal_in_blocks_of_any_size(monkeypatch):
+    rng, cfg = np.random.default_rng(2), LM(hidden=4, near=6, per_class=2, tails=3)
+    net = Network(6, cfg, np.arange(9, 0, -1).astype(float))
+    states, target = rng.normal(size=(5, 3, 4)), rng.integers(0, 9, 15)
+    for k in net.p:
+        net.p[k] = net.p[k].astype(np.float64)
+    told = []
+    for block in (4, 512):
+        monkeypatch.setattr(lm_scoring, "BLOCK", block)
+        for scale in (1, 1e4):  # the second overflows exp
+            grads = {k: np.zeros_like(x) for k, x in net.p.items()}
+            score, back = net.outputs(scale * states, target, grads)
+            assert np.isfinite(score).all() and back.shape == states.shape
+            told.append([score, back, *grads.values()])
+    for a, b in zip(told[:2], told[2:], strict=True):
+        for x, y in zip(a, b, strict=True):
+            assert x == pytest.approx(y)
+
+
 def test_lm_query(spark, sf_dir):
     out = lm_scoring.op1_lm_scoring(spark, sf_dir).toPandas()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}

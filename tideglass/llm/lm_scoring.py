@@ -19,21 +19,20 @@ frequent (the ones held in memory) get their counts from a join.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from dataclasses import dataclass, replace
-from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fold, least_hashed, materialize, on_one_worker, sliced, table, texts_of
+from .common import fields, fold, least_hashed, materialize, on_one_worker, sliced, table
 
 END = b" "  # no word holds a blank
-#: Tokens whose logits are made at once: what a processor's cache holds.
-BLOCK = 1024
+#: Tokens at most whose logits are made at once: what a processor's cache holds.
+BLOCK = 512
 #: Bytes of text scored at once: a text is read in one lane, so that the longest should be few among them.
 SLICE = 16_000_000
 
@@ -67,16 +66,44 @@ def tokens(text: bytes | None) -> list[bytes]:
     return words
 
 
+def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words (binary) of an Arrow column of texts, without the ends, and where each text's begin, with their number at the end: those of ``tokens``, for many texts at once."""
+    text = column.cast(pa.binary()).view(pa.string())  # whatever the bytes are
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+    words, bounds = lists.flatten(), lists.offsets.to_numpy()
+    # Blanks at a text's edges leave empty words.
+    full = pc.binary_length(words).to_numpy() > 0
+    if not full.all():
+        words, bounds = words.filter(pa.array(full)), np.concatenate([[0], np.cumsum(full)])[bounds]
+    return words.view(pa.binary()), bounds
+
+
 def tail_of(word: bytes, tails: int) -> int:
     return crc32(word.rstrip(b".,;:!?")[-3:]) % tails
 
 
-def _exp_sums(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """exp of columns (made in place), their sums, and the logarithms of the true sums; the maximum is taken out only where single precision needs it."""
-    with np.errstate(over="ignore", divide="ignore"):
-        e = np.exp(x)
-        sums = np.ones(len(x), x.dtype) @ e
-        logs = np.log(sums)
+#: The steps of crc32 over one byte.
+_CRC = np.array([crc32(bytes([255 - b])) ^ 0xFF000000 for b in range(256)], np.uint32)
+
+
+def tails_of(words: pa.Array, tails: int) -> np.ndarray:
+    """``tail_of`` each word of a binary array."""
+    short = pc.ascii_rtrim(words.cast(pa.binary()).view(pa.string()), characters=".,;:!?")
+    bounds = np.frombuffer(short.buffers()[1], np.int32, len(short) + 1, 4 * short.offset) if len(short) else np.zeros(1, np.int32)
+    data, ends, sizes = np.frombuffer(short.buffers()[2] or b"", np.uint8), bounds[1:], np.diff(bounds)
+    code = np.full(len(short), 0xFFFFFFFF, np.uint32)
+    for back in (3, 2, 1):
+        some = np.flatnonzero(sizes >= back)
+        now = code[some]
+        code[some] = _CRC[(now ^ data[ends[some] - back]) & 255] ^ (now >> 8)
+    return (~code % tails).astype(np.int64)
+
+
+def _exp_sums(x: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """exp of columns, their sums, and the logarithms of the true sums; the maximum is taken out only where single precision needs it. ``ones``: as many as rows, or more."""
+    e = np.exp(x)
+    sums = ones[: len(x)] @ e
+    logs = np.log(sums)
     if not np.isfinite(logs).all():
         top = x.max(axis=0)
         e = np.exp(x - top)
@@ -135,9 +162,10 @@ class Network:
         clear = live is not None and (live != 1).any(axis=1)
         for t in range(steps):
             if keep:
-                state = np.multiply(state, live[t], out=before[t])
-            elif live is not None and clear[t]:
-                state = state * live[t]
+                before[t] = state
+                state = before[t]
+            if live is not None and clear[t]:
+                state = np.multiply(state, live[t], out=before[t] if keep else None)
             np.matmul(u, state, out=r)
             g, n = gates[t, : 2 * h], gates[t, 2 * h :]
             g += r[: 2 * h]
@@ -155,63 +183,75 @@ class Network:
             state = o
         return out.transpose(0, 2, 1), state.T, (before, gates, inner)
 
+    @np.errstate(over="ignore", divide="ignore")
     def outputs(self, states: np.ndarray, target: np.ndarray, grads: dict | None = None):
         """Log probability of each target unit's class, and of near words within it, at each state (the last axis); gradients by the way, in the form of ``states``."""
-        h, p, cls, kind = self.h, self.p, self.class_of[target], states.dtype
-        score, back = np.empty(len(target), kind), np.empty((h, len(target)), kind) if grads is not None else None
+        h, p, cls, kind, total = self.h, self.p, self.class_of[target], states.dtype, len(target)
+        score, back = np.empty(total, kind), np.empty((total, h), kind) if grads is not None else None
+        places, ones = np.arange(total), np.ones(max(self.classes, self.near), kind)
         # The biases are weights of a last input, always one.
-        columns = np.empty((h + 1, len(target)), kind)
+        columns = np.empty((h + 1, total), kind)
         columns[:h].reshape(h, *states.shape[:-1])[...], columns[h] = np.moveaxis(states, -1, 0), 1
-        c, made = np.column_stack([p["c"].T, p["cb"]]), np.zeros((h + 1, self.classes), kind)
-        for lo in range(0, len(target), BLOCK):
-            some, of = columns[:, lo : lo + BLOCK], cls[lo : lo + BLOCK]
-            at = np.arange(len(of))
+        c, classes, made = np.column_stack([p["c"].T, p["cb"]]), np.ascontiguousarray(p["c"].T), np.zeros((self.classes, h + 1), kind)
+        # The place of each target in its block's logits.
+        ats = cls * np.minimum(BLOCK, total - places // BLOCK * BLOCK) + places % BLOCK
+        for lo in range(0, total, BLOCK):
+            some, at = columns[:, lo : lo + BLOCK], ats[lo : lo + BLOCK]
             logits = c @ some
-            picked = logits[of, at]
-            d, sums, logs = _exp_sums(logits)
+            picked = logits.take(at)
+            d, sums, logs = _exp_sums(logits, ones)
             np.subtract(picked, logs, out=score[lo : lo + BLOCK])
             if grads is not None:
                 d *= 1 / sums
-                d[of, at] -= 1
-                made += some @ d.T
-                np.matmul(p["c"], d, out=back[:, lo : lo + BLOCK])
+                d.reshape(-1)[at] -= 1
+                made += d @ some.T
+                np.matmul(d.T, classes, out=back[lo : lo + BLOCK])
         near = np.flatnonzero(target < self.near)
         order = near[np.argsort(cls[near], kind="stable")]
-        own, state = np.take(target, order), np.take(columns, order, axis=1)
+        # Rows are gathered faster than columns.
+        rows = np.empty((*states.shape[:-1], h + 1), kind)
+        rows[..., :h], rows[..., h] = states, 1
+        own, rows = np.take(target, order), np.take(rows.reshape(-1, h + 1), order, axis=0)
         bounds = np.flatnonzero(np.diff(np.take(cls, order), prepend=-1, append=-1)) if len(order) else np.zeros(0, int)
-        more, inside = np.empty(len(order), kind), np.zeros((h, len(order) + 1), kind)
+        more, inside = np.empty(len(order), kind), np.zeros((len(order) + 1, h), kind) if grads is not None else None
         owners = self.of[own[bounds[:-1]]] if len(order) else bounds
-        own = own - self.bounds[self.of[own]]
-        weights, places = np.column_stack([p["w"], p["wb"]]), np.arange(len(order))
+        sizes = np.diff(bounds)
+        ats = (own - self.bounds[self.of[own]]) * np.repeat(sizes, sizes) + places[: len(order)] - np.repeat(bounds[:-1], sizes)
+        weights = np.column_stack([p["w"], p["wb"]])
+        found = np.zeros_like(weights) if grads is not None else None
         for lo, hi, k in zip(bounds[:-1].tolist(), bounds[1:].tolist(), owners.tolist(), strict=True):
-            rows = slice(self.bounds[k], self.bounds[k + 1])
-            some, j, at = state[:, lo:hi], own[lo:hi], places[: hi - lo]
-            logits = weights[rows] @ some
-            picked = logits[j, at]
-            d, sums, logs = _exp_sums(logits)
+            words, some = slice(self.bounds[k], self.bounds[k + 1]), rows[lo:hi]
+            at, logits = ats[lo:hi], weights[words] @ some.T
+            picked = logits.take(at)
+            d, sums, logs = _exp_sums(logits, ones)
             np.subtract(picked, logs, out=more[lo:hi])
             if grads is not None:
                 d *= 1 / sums
-                d[j, at] -= 1
-                both = d @ some.T
-                grads["w"][rows] += both[:, :h]
-                grads["wb"][rows] += both[:, h]
-                np.matmul(p["w"][rows].T, d, out=inside[:, lo:hi])
+                d.reshape(-1)[at] -= 1
+                np.matmul(d, some, out=found[words])
+                np.matmul(d.T, p["w"][words], out=inside[lo:hi])
         score[order] += more
         if grads is not None:
-            grads["c"] += made[:h]
-            grads["cb"] += made[h]
+            grads["c"] += made[:, :h].T
+            grads["cb"] += made[:, h]
+            grads["w"] += found[:, :h]
+            grads["wb"] += found[:, h]
             # Other units get the zero at the end.
-            at = np.full(len(target), len(order))
-            at[order] = places
-            back += np.take(inside, at, axis=1)
-            back = np.moveaxis(back.reshape(h, *states.shape[:-1]), 0, -1)
+            at = np.full(total, len(order))
+            at[order] = places[: len(order)]
+            back += np.take(inside, at, axis=0)
+            back = back.reshape(states.shape)
         return score, back
 
     def fit(self, texts: list[np.ndarray], start: int, cfg: LM) -> list[float]:
         """Truncated backpropagation, Adam, lanes of consecutive texts; nats a token of each epoch."""
         rng, p, h = np.random.default_rng(cfg.seed), self.p, self.h
-        m, v, turn, told = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0, []
+        # All weights lie in one array, and likewise their gradients.
+        flat_p, flat_g = (np.concatenate([x.ravel() for x in p.values()]) for _ in range(2))
+        m, v, turn, told, grads, at = np.zeros_like(flat_p), np.zeros_like(flat_p), 0, [], {}, 0
+        for k, x in p.items():
+            p[k], grads[k] = (flat[at : at + x.size].reshape(x.shape) for flat in (flat_p, flat_g))
+            at += x.size
         total = sum(map(len, texts))
         lanes = max(1, min(cfg.lanes, total // cfg.window))
         for epoch in range(cfg.epochs):
@@ -223,7 +263,7 @@ class Network:
             for lo in range(0, length, cfg.window):
                 x, y = before[lo : lo + cfg.window], flat[lo : lo + cfg.window]
                 # A text's first token follows an end, which clears the state: as in scoring, texts are independent.
-                grads = {k: np.zeros_like(q) for k, q in p.items()}
+                flat_g[:] = 0
                 live = (x != start).astype(np.float32)
                 out, state, kept = self.steps(x, state, live)
                 score, back = self.outputs(out, y.ravel(), grads)
@@ -231,22 +271,22 @@ class Network:
                 self._back(x, kept, back, grads, live)
                 turn += 1
                 rate = cfg.rate * (1 - (epoch + lo / length) / cfg.epochs) + 1e-4
-                for k, g in grads.items():
-                    g *= np.float32(8 / y.size)
-                    np.clip(g, -1, 1, out=g)
-                    # Adam with decays 0.9 and 0.99, in place: g is the scratch array from its last use on.
-                    m[k] *= np.float32(0.9)
-                    m[k] += np.float32(0.1) * g
-                    g *= g
-                    g *= np.float32(0.01)
-                    v[k] *= np.float32(0.99)
-                    v[k] += g
-                    np.sqrt(v[k], out=g)
-                    g *= np.float32((1 - 0.99**turn) ** -0.5)
-                    g += np.float32(1e-6)
-                    np.divide(m[k], g, out=g)
-                    g *= np.float32(rate / (1 - 0.9**turn))
-                    p[k] -= g
+                # Adam with decays 0.9 and 0.99, in place: the gradients are the scratch array from their last use on.
+                g = flat_g
+                g *= np.float32(8 / y.size)
+                np.clip(g, -1, 1, out=g)
+                m *= np.float32(0.9)
+                m += np.float32(0.1) * g
+                g *= g
+                g *= np.float32(0.01)
+                v *= np.float32(0.99)
+                v += g
+                np.sqrt(v, out=g)
+                g *= np.float32((1 - 0.99**turn) ** -0.5)
+                g += np.float32(1e-6)
+                np.divide(m, g, out=g)
+                g *= np.float32(rate / (1 - 0.9**turn))
+                flat_p -= g
             told.append(loss / max(1, flat.size))
         return told
 
@@ -255,39 +295,43 @@ class Network:
         h, u = self.h, self.p["u"]
         before, gates, inner = kept
         back = np.ascontiguousarray(back.transpose(0, 2, 1))
-        dr = np.empty_like(gates)
-        later, dn, by = np.zeros_like(back[0]), np.empty_like(back), np.empty_like(back[0])
+        # What a step sends to its products with the state, and by rows to its inputs, where the last third differs.
+        dr, rows = np.empty_like(gates[0]), np.empty((*x.shape, 3 * h), gates.dtype)
+        clear = (live != 1).any(axis=1)
+        later, dn, by, made = np.zeros_like(back[0]), np.empty_like(back[0]), np.empty_like(back[0]), np.zeros_like(u.T)
         for t in range(len(x) - 1, -1, -1):
             z, g, n = gates[t, :h], gates[t, h : 2 * h], gates[t, 2 * h :]
-            d, dz, dg = back[t], dr[t, :h], dr[t, h : 2 * h]
+            d, dz, dg, dc = back[t], dr[:h], dr[h : 2 * h], dr[2 * h :]
             d += later
-            e = np.subtract(1, z, out=dn[t])
+            np.subtract(1, z, out=dn)
             # d (before - n) z (1 - z)
             np.subtract(before[t], n, out=dz)
             dz *= z
-            dz *= e
+            dz *= dn
             dz *= d
             # d (1 - z) (1 - n n)
-            e *= d
+            dn *= d
             np.multiply(n, n, out=by)
-            by *= e
-            e -= by
-            np.multiply(e, g, out=dr[t, 2 * h :])
+            by *= dn
+            dn -= by
+            np.multiply(dn, g, out=dc)
             # the same times inner g (1 - g)
             np.subtract(1, g, out=dg)
             dg *= inner[t]
-            dg *= dr[t, 2 * h :]
-            np.matmul(u, dr[t], out=later)
+            dg *= dc
+            made += dr @ before[t].T
+            np.matmul(u, dr, out=later)
             d *= z
             later += d
-            later *= live[t]
-        grads["u"] += np.matmul(before, dr.transpose(0, 2, 1)).sum(axis=0)
-        dr[:, 2 * h :] = dn
+            if clear[t]:
+                later *= live[t]
+            rows[t, :, : 2 * h], rows[t, :, 2 * h :] = dr[: 2 * h].T, dn.T
+        grads["u"] += made.T
         unit = x.ravel()
         order = np.argsort(unit.astype(np.int16), kind="stable") if len(grads["x"]) < 2**15 else np.argsort(unit, kind="stable")
         unit = unit[order]
         at = np.flatnonzero(np.diff(unit, prepend=-1))
-        rows = np.take(dr.transpose(0, 2, 1).reshape(-1, 3 * h), order, axis=0)
+        rows = np.take(rows.reshape(-1, 3 * h), order, axis=0)
         grads["b"] += np.ones(len(rows), rows.dtype) @ rows
         # Sums of many rows are products with ones; those of few are made at once for all such units, row by row.
         sizes = np.diff(at, append=len(unit))
@@ -348,11 +392,9 @@ def counted(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts of ``docs(text)``, each text's end counted as a token. Summed by batch before the shuffle."""
 
     def run(batches):
-        for batch in batches:
-            n: Counter = Counter()
-            for text in texts_of(batch.column(0)):
-                n.update(tokens(text))
-            yield fields(word=pa.array(list(n), pa.binary()), n=pa.array(list(n.values()), pa.int64()))
+        for batch in sliced(batches, 0, 64_000_000):
+            words, n = pc.value_counts(words_of(batch.column(0))[0]).flatten()
+            yield fields(word=pa.concat_arrays([words, pa.array([END])]), n=pa.concat_arrays([n, pa.array([batch.num_rows])]))
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -369,9 +411,9 @@ class Model:
         words = [END, *words]
         self.near = min(cfg.near, len(words))
         n = np.array([counts.get(w, 0) for w in words], np.int64)
-        self.index = {w: i for i, w in enumerate(words)}
-        tail = np.array([tail_of(w, cfg.tails) for w in words], np.int64)
-        self.unit = np.where(np.arange(len(words)) < self.near, np.arange(len(words)), self.near + tail).astype(np.int64)
+        self.words = pa.array(words, pa.binary())
+        tail = tails_of(self.words, cfg.tails)
+        self.unit = np.where(np.arange(len(words)) < self.near, np.arange(len(words)), self.near + tail).astype(np.int32)
         self.log_count = np.log(n + 1.0)
         # What the near words take from the tails' sums.
         mass = tails.astype(float).copy()
@@ -381,16 +423,22 @@ class Model:
         self.inner = np.where(np.arange(len(words)) < self.near, 0.0, self.log_count - np.log(self.tail_mass[tail]))
         self.net = Network(self.near, cfg, np.concatenate([n[: self.near], mass[:, 0].clip(0)]))
 
-    def encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def encoded(self, words: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """Units of the words, their places in the head (-1: not there), and the words that are not there."""
-        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        words = pa.array(words, pa.binary()) if isinstance(words, list) else words
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
         out = np.flatnonzero(at < 0)
-        units, rest = self.unit[at], [words[i] for i in out.tolist()]
-        units[out] = self.near + np.array([crc32(w.rstrip(b".,;:!?")[-3:]) for w in rest], np.int64) % self.cfg.tails
+        units, rest = np.take(self.unit, at), words.take(pa.array(out))
+        units[out] = self.near + tails_of(rest, self.cfg.tails)
         return units, at, rest
 
+    def texts(self, column: pa.Array) -> list[np.ndarray]:
+        """The units of each text of a column, its end included."""
+        words, bounds = words_of(column)
+        return _ended(self.encoded(words)[0], bounds)
+
     def fit(self, spark: SparkSession, texts: list[bytes]) -> None:
-        sample = [self.encoded(tokens(x))[0].astype(np.int32) for x in texts]
+        sample = self.texts(pa.array(texts, pa.binary()))
         if sum(map(len, sample)) > self.cfg.window:
             task, cfg = spark.sparkContext.broadcast((self.net, sample)), self.cfg
 
@@ -413,7 +461,7 @@ class Model:
                 cfg, net, n = model.cfg, Network.__new__(Network), 0
                 net.__dict__ = {**model.net.__dict__, "p": {k: x.copy() for k, x in model.net.p.items()}}
                 for batch in sliced(batches, 0):
-                    texts = [model.encoded(tokens(x))[0].astype(np.int32) for x in texts_of(batch.column(0))]
+                    texts = model.texts(batch.column(0))
                     total = sum(map(len, texts))
                     lanes = max(1, min(cfg.round_lanes, total // (16 * cfg.window)))
                     net.fit(texts, 0, replace(cfg, epochs=1, lanes=lanes, rate=cfg.rate * cfg.round_rate * (1 - r / cfg.rounds)))
@@ -437,23 +485,36 @@ class Model:
                     at += old.size
                 self.net.p = now
 
-    def scored(self, texts: list[bytes | None]) -> list[tuple]:
-        """Of each text: tokens, those known, sums of log(c + 1) and of model log probability but for words beyond the head, and those words with counts."""
-        units, rows, same = [], [], {}
-        for text in texts:
-            if text in same:
-                continue
-            same[text] = len(same)
-            words = tokens(text)
-            u, at, out = self.encoded(words)
-            units.append(u.astype(np.int32))
-            here = at[at >= 0]
-            rest = Counter(out)
-            short = np.log(self.tail_mass[u[at < 0] - self.near]).sum() if out else 0.0
-            rows.append((len(words), int(self.known[here].sum()), float(self.log_count[here].sum()), float(self.inner[here].sum() - short), rest))
-        model = self.net.scored(units, 0)
-        out = [(n, k, base, float(inner + s), rest) for (n, k, base, inner, rest), s in zip(rows, model, strict=True)]
-        return [out[same[text]] for text in texts]
+    def scored(self, column: pa.Array) -> tuple:
+        """Of each text of a column: tokens, those known, sums of log(c + 1) and of model log probability but for words beyond the head, and those words with their times."""
+        # Texts that repeat are scored once.
+        coded = pc.fill_null(column.cast(pa.binary()), b"").dictionary_encode()
+        same, texts = coded.indices.to_numpy(), len(coded.dictionary)
+        words, bounds = words_of(coded.dictionary)
+        units, at, out = self.encoded(words)
+        text, held = np.repeat(np.arange(texts), np.diff(bounds)), at >= 0
+        away = ~held
+        base, inner = np.take(self.log_count, at), np.take(self.inner, at)
+        base[away], inner[away] = 0, -np.log(self.tail_mass[units[away] - self.near])
+
+        def sums(x: np.ndarray, end: float) -> np.ndarray:
+            return np.bincount(text, x, texts) + end
+
+        known = sums(held & self.known[at], self.known[0]).astype(np.int64)
+        model = sums(inner, self.inner[0]) + self.net.scored(_ended(units, bounds), 0)
+        kinds = out.dictionary_encode()
+        pairs, times = np.unique(text[away] * max(1, len(kinds.dictionary)) + kinds.indices.to_numpy(), return_counts=True)
+        of, kind = np.divmod(pairs, max(1, len(kinds.dictionary)))
+        rest = pa.StructArray.from_arrays([kinds.dictionary.take(pa.array(kind)), pa.array(times)], ["word", "times"])
+        offsets = np.searchsorted(of, np.arange(texts + 1)).astype(np.int32)
+        rest = pa.ListArray.from_arrays(pa.array(offsets), rest).take(coded.indices)
+        return (np.diff(bounds) + 1)[same].astype(np.int64), known[same], sums(base, self.log_count[0])[same], model[same], rest
+
+
+def _ended(units: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """The units of each text, followed by its end, which is the first unit."""
+    ends = bounds[1:] + np.arange(1, len(bounds))
+    return np.split(np.insert(units, bounds[1:], 0), ends[:-1]) if len(ends) else []
 
 
 def _tails(counts: DataFrame, cfg: LM) -> np.ndarray:
@@ -462,7 +523,7 @@ def _tails(counts: DataFrame, cfg: LM) -> np.ndarray:
     def run(batches):
         out = np.zeros((cfg.tails, 2), np.int64)
         for batch in batches:
-            t = np.fromiter((tail_of(w, cfg.tails) for w in batch.column(0).to_pylist()), np.int64, batch.num_rows)
+            t = tails_of(batch.column(0), cfg.tails)
             out[:, 0] += np.bincount(t, batch.column(1).to_numpy(), cfg.tails).astype(np.int64)
             out[:, 1] += np.bincount(t, minlength=cfg.tails)
         yield fields(t=pa.array(np.arange(cfg.tails)), n=pa.array(out[:, 0]), d=pa.array(out[:, 1]))
@@ -523,13 +584,8 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in sliced(batches, 1, SLICE):
-            rows = shared.value.scored(texts_of(batch.column(1)))
-            n, k, b, s, rest = zip(*rows, strict=True) if rows else ([],) * 5
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rest])]).astype(np.int32)
-            words = pa.array([w for r in rest for w in r], pa.binary())
-            times = pa.array([c for r in rest for c in r.values()], pa.int64())
-            pairs = pa.StructArray.from_arrays([words, times], ["word", "times"])
-            yield fields(doc_id=batch.column(0), n_tokens=pa.array(n, pa.int64()), known=pa.array(k, pa.int64()), base=pa.array(b, pa.float64()), model=pa.array(s, pa.float64()), rest=pa.ListArray.from_arrays(pa.array(offsets), pairs))
+            n, k, b, s, rest = shared.value.scored(batch.column(1))
+            yield fields(doc_id=batch.column(0), n_tokens=pa.array(n), known=pa.array(k), base=pa.array(b), model=pa.array(s), rest=rest)
 
     first = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, known long, base double, model double, rest array<struct<word: binary, times: long>>")
     first = materialize(first.withColumn("row", F.monotonically_increasing_id()), "scores")
